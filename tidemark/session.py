@@ -36,17 +36,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only when ``spark.checkpoint.dir`` is unset (tests, a laptop) is a local
-    temporary folder made, and it is then recorded in the session so that every
-    later caller uses the same one.
+    Only where ``spark.checkpoint.dir`` is unset (tests, a laptop) is one local
+    temporary folder made per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _LOCAL_ROOTS[app] = root
     return root.rstrip("/")
 
 
