@@ -77,18 +77,17 @@ def side_totals(counts: DataFrame) -> DataFrame:
     )
 
 
-def quantile_edges(cumulative: DataFrame, totals: DataFrame, buckets: int = 10) -> DataFrame:
-    """Distinct linearly interpolated quantiles of the reference, ascending, per feature.
+def quantile_values(cumulative: DataFrame, totals: DataFrame, levels: Sequence[float]) -> DataFrame:
+    """(feature, level, edge): linearly interpolated quantiles of the reference.
 
     A quantile needs the values at two neighbouring positions; those at most
-    ``2 * (buckets + 1)`` rows per feature are filtered out first.
+    ``2 * len(levels)`` rows per feature are filtered out first.
     """
-    step = 1.0 / buckets
-    levels = [i * step for i in range(buckets)] + [1.0]
     last = (F.col("rows_ref") - 1).cast("double")
     wanted = F.array(
         *[
             F.struct(
+                F.lit(float(q)).alias("level"),
                 F.floor(last * q).cast("bigint").alias("lo"),
                 F.ceil(last * q).cast("bigint").alias("hi"),
                 (last * q - F.floor(last * q)).alias("part"),
@@ -111,11 +110,22 @@ def quantile_edges(cumulative: DataFrame, totals: DataFrame, buckets: int = 10)
     )
     lo = F.max(F.when((F.col("w.lo") >= F.col("s")) & (F.col("w.lo") < F.col("e")), F.col("value")))
     hi = F.max(F.when((F.col("w.hi") >= F.col("s")) & (F.col("w.hi") < F.col("e")), F.col("value")))
-    points = (
+    return (
         near.groupBy("feature", "w")
         .agg(lo.alias("lo"), hi.alias("hi"))
-        .select("feature", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w.part")).alias("edge"))
+        .select(
+            "feature",
+            F.col("w.level").alias("level"),
+            (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w.part")).alias("edge"),
+        )
     )
+
+
+def quantile_edges(cumulative: DataFrame, totals: DataFrame, buckets: int = 10) -> DataFrame:
+    """Distinct quantiles of the reference, ascending, per feature."""
+    step = 1.0 / buckets
+    levels = [i * step for i in range(buckets)] + [1.0]
+    points = quantile_values(cumulative, totals, levels)
     return points.groupBy("feature").agg(F.array_sort(F.collect_set("edge")).alias("edges"))
 
 
@@ -145,7 +155,7 @@ def psi(
         )
         .agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
     )
-    # Each feature has at least one reference row per bin, so no bin is missing.
+    # A bin with no row on either side would add nothing to the sum.
     shares = binned.join(
         F.broadcast(totals.select("feature", "rows_ref", "rows_cur")), "feature"
     ).select(
@@ -228,18 +238,12 @@ def feature_drift(
         out = out.join(F.broadcast(ks), "feature", "left")
     listed = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     absent = [f for f in features if f not in both]
-    out = F.broadcast(listed).join(out, "feature", "left")
+    out = listed.join(out, "feature", "left")
+    label = F.coalesce("interpretation", F.lit("indeterminé"))
+    if absent:
+        label = F.when(F.col("feature").isin(absent), "absente").otherwise(label)
     return out.withColumns(
-        {
-            "interpretation": F.when(F.col("feature").isin(absent), F.lit("absente"))
-            .otherwise(F.coalesce("interpretation", F.lit("indeterminé"))),
-            "drifted": F.coalesce("drifted", F.lit(False)),
-        }
-    ) if absent else out.withColumns(
-        {
-            "interpretation": F.coalesce("interpretation", F.lit("indeterminé")),
-            "drifted": F.coalesce("drifted", F.lit(False)),
-        }
+        {"interpretation": label, "drifted": F.coalesce("drifted", F.lit(False))}
     )
 
 
