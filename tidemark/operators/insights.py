@@ -136,7 +136,7 @@ def tercile_cuts(n: int) -> tuple[int, int]:
     """Ranks at which linear-quantile terciles of the ranks 1..n end."""
     third, rest = divmod(n, 3)
     extra = 1 if rest == 2 else 0
-    return third + extra, 2 * third + extra if rest == 0 else 2 * third + 1
+    return third + extra, 2 * third + extra
 
 
 def rfm_scores(df: DataFrame, tie: Sequence[str] = ("customer_id",)) -> DataFrame:
