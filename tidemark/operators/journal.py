@@ -33,7 +33,11 @@ def append(
     """
     jid = dict(entries.dtypes)["journal_id"]
     wanted = ["journal_id", *dict.fromkeys([*order_by, *fields, *details])]
-    batch = entries.select(*wanted, F.lit(None).cast("bigint").alias("_seq"), F.lit(None).cast("string").alias("_line"))
+    texts = {c: F.col(c).cast("string") for c in [*fields, *details]}
+    shown = {f"_f_{c}": v for c, v in texts.items()}
+    batch = entries.select(*wanted).withColumns(shown).select(
+        "*", F.lit(None).cast("bigint").alias("_seq"), F.lit(None).cast("string").alias("_line")
+    )
     if heads is not None:
         last = heads.select("journal_id", F.col("seq").alias("_seq"), F.col("line").alias("_line")).join(
             entries.select("journal_id").distinct(), "journal_id", "left_semi"
@@ -51,10 +55,10 @@ def append(
                 if isinstance(row["_line"], str):
                     seq, digest = int(row["_seq"]) + 1, hashlib.sha256(row["_line"].encode()).hexdigest()
                     continue
-                entry = {f: row[f] for f in names}
+                entry = {f: row[f"_f_{f}"] for f in names}
                 entry["previous_hash"] = digest
-                entry["details"] = {d: row[d] for d in extra}
-                line = json.dumps(entry, ensure_ascii=False, default=str)
+                entry["details"] = {d: row[f"_f_{d}"] for d in extra}
+                line = json.dumps(entry, ensure_ascii=False)
                 ids.append(journal)
                 seqs.append(seq)
                 lines.append(line)

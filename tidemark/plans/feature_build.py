@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import side_by_side
 from tidemark.functions.numeric import half_even
 from tidemark.operators import consent, contracts, privacy, retention
 from tidemark.operators.features import snapshot_dataset
@@ -108,10 +109,7 @@ def snapshot_totals(features: DataFrame) -> DataFrame:
         F.max(F.when(~total, F.col("churn_rate"))).alias("max_rate"),
     )
     people = features.agg(F.count_distinct("customer_id").alias("customers"))
-    # Two one-row tables side by side.
-    return (
-        rates.withColumn("_one", F.lit(1)).join(people.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    )
+    return side_by_side(rates, people)
 
 
 def latest_snapshot(features: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import side_by_side
 from tidemark.operators import consent, drift, metrics, retention
 from tidemark.operators.decisions import RetrainingPolicy, retraining_decision
 from tidemark.operators.journal import verify
@@ -54,7 +55,7 @@ def monitoring_report(
 ) -> DataFrame:
     """Signals of the three sensors joined on the model, and the decision on them.
 
-    The pieces are one-row aggregates, put side by side by the model version.
+    The pieces are one-row aggregates of one model version, put side by side.
     """
     by_feature = drift.feature_drift(reference, current, features)
     data = drift.drift_summary(by_feature)
@@ -64,17 +65,12 @@ def monitoring_report(
     performance = metrics.evaluate(cohort, ["model_version"], threshold, baseline_f1)
     pending = retention.pending_erasures(erasures)
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_k", F.lit(1))
-
-    signals = (
-        keyed(performance.select("model_version", "rows", "f1", F.col("f1_delta").alias("performance_delta")))
-        .join(keyed(data), "_k")
-        .join(keyed(predictions), "_k")
-        .join(keyed(pending.select(F.col("pending").alias("erasure_requests"))), "_k")
-        .drop("_k")
-        .withColumn("model_age_days", F.lit(model_age_days))
-    )
+    signals = side_by_side(
+        performance.select("model_version", "rows", "f1", F.col("f1_delta").alias("performance_delta")),
+        data,
+        predictions,
+        pending.select(F.col("pending").alias("erasure_requests")),
+    ).withColumn("model_age_days", F.lit(model_age_days))
     return retraining_decision(signals, policy)
 
 
