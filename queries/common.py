@@ -163,15 +163,15 @@ consent AS (
   FROM dated)"""
 
 #: Valid opt-ins at the compliance date, for any purpose.
-OPTED_IN = """asof AS (SELECT max(o_orderdate) AS at FROM orders),
+OPTED_IN = """compliance AS (SELECT max(o_orderdate) AS ref_date FROM orders),
 opted_in AS (
-  SELECT DISTINCT purpose, customer_id FROM consent, asof
-  WHERE opt_in AND consent_date <= at AND consent_date >= at - INTERVAL 750 DAY
-    AND (withdrawn_at IS NULL OR withdrawn_at > at) AND (objection_at IS NULL OR objection_at > at))"""
+  SELECT DISTINCT purpose, customer_id FROM consent, compliance
+  WHERE opt_in AND consent_date <= ref_date AND consent_date >= ref_date - INTERVAL 750 DAY
+    AND (withdrawn_at IS NULL OR withdrawn_at > ref_date) AND (objection_at IS NULL OR objection_at > ref_date))"""
 
 OBJECTED = """objected AS (
-  SELECT DISTINCT purpose, customer_id FROM consent, (SELECT max(o_orderdate) AS at FROM orders)
-  WHERE objection_at <= at)"""
+  SELECT DISTINCT purpose, customer_id FROM consent, (SELECT max(o_orderdate) AS ref_date FROM orders)
+  WHERE objection_at <= ref_date)"""
 
 
 def half_even(expr: str, digits: int) -> str:
