@@ -97,10 +97,9 @@ def k_anonymity(spark, sf):
 
 def _both_models(spark, sf):
     """Both fixed models over the same feature rows."""
-    table = c.features(spark, sf)
-    at = F.col("snapshot_date")
-    one = scoring.score_batch(table, c.V1, c.THRESHOLD, at, keep=["churn"])
-    return one.unionByName(scoring.score_batch(table, c.V2, c.THRESHOLD, at, keep=["churn"]))
+    return scoring.score_models(
+        c.features(spark, sf), [c.V1, c.V2], c.THRESHOLD, F.col("snapshot_date"), keep=["churn"]
+    )
 
 
 def classification_metrics(spark, sf):

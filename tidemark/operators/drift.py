@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import half_even
 from tidemark.operators.ordered import quantile_bucket, running_totals
+from tidemark.session import materialize
 
 # fixed values
 PSI_STABLE = 0.10
@@ -30,7 +31,11 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value, n_ref, n_cur) over both slices; nulls are left out."""
+    """(feature, value, n_ref, n_cur) over both slices; nulls are left out.
+
+    Split points, prefix sums, totals and histograms each need other columns of
+    this table, so no exchange could be shared between them: it is written once.
+    """
 
     def long(df: DataFrame, side: int) -> DataFrame:
         present = [f for f in features if f in df.columns]
@@ -52,12 +57,13 @@ def value_counts(reference: DataFrame, current: DataFrame, features: Sequence[st
             )
         )
 
-    return (
+    counts = (
         long(reference, 0)
         .unionByName(long(current, 1))
         .groupBy("feature", "value")
         .agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     )
+    return materialize(counts, "value-counts")
 
 
 def accumulated(counts: DataFrame, n_features: int) -> DataFrame:

@@ -209,12 +209,8 @@ def feature_correlation(
     y = F.col(target).cast("double")
 
     def pair(f: str) -> Column:
-        x = F.col(f).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        varies = (F.min(F.when(both, x)) < F.max(F.when(both, x))) & (
-            F.min(F.when(both, y)) < F.max(F.when(both, y))
-        )
-        return F.when(varies, half_even(F.corr(x, y), digits))
+        r = F.corr(F.col(f).cast("double"), y)
+        return half_even(F.when(~F.isnan(r), r), digits)
 
     out = _one_row_per(df, {f: {"correlation": pair(f)} for f in features})
     return out.withColumn("strength", F.abs("correlation"))

@@ -144,6 +144,31 @@ def score_batch(
     )
 
 
+def score_models(
+    features: DataFrame,
+    models: Sequence[LinearScorer],
+    threshold: float,
+    scored_at: Column,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Scores of several linear models over the same rows, in one pass over them."""
+    scores = F.array(
+        *[F.struct(F.lit(m.version).alias("_version"), m.probability().alias("_p")) for m in models]
+    )
+    each = features.select("*", F.inline(scores))
+    p = F.col("_p")
+    return each.select(
+        "customer_id",
+        half_even(p, 4).alias("churn_proba"),
+        risk_level(p).alias("risk_level"),
+        (p >= threshold).cast("int").alias("predicted_churn"),
+        F.col("_version").alias("model_version"),
+        F.lit(float(threshold)).alias("decision_threshold"),
+        scored_at.alias("scored_at"),
+        *keep,
+    )
+
+
 def served_row_problems(df: DataFrame, names: Sequence[str] = MODEL_FEATURES) -> Column:
     """Array of the contract rules a served row breaks; empty when it may be scored."""
     rules = []
