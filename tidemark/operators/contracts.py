@@ -149,7 +149,7 @@ def transaction_expectations(df: DataFrame, today: dt.datetime) -> list[Expectat
             ("order_value",),
         ),
         over("no_future_order", F.max(date()) <= limit, ("order_date",), False),
-        over("few_duplicates", F.sum(n - 1) / F.sum(n) < 0.01, (), False),
+        over("few_duplicates", F.try_divide(F.sum(n - 1), F.sum(n)) < 0.01, (), False),
     ]
 
 
@@ -183,7 +183,7 @@ def _feature_keys(df: DataFrame) -> list[str]:
 def feature_expectations(df: DataFrame, stable_schema: Sequence[str] | None = None) -> list[Expectation]:
     churn = F.col("churn")
     dated = "snapshot_date" in df.columns
-    null_shares = [F.count_if(F.col(c).isNull()) / F.count(F.lit(1)) for c in df.columns]
+    null_shares = [F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1))) for c in df.columns]
     most_nulls = F.greatest(*null_shares) if len(null_shares) > 1 else null_shares[0]
     recency, age = F.col("days_since_last_order"), F.col("days_since_first_order")
 

@@ -209,8 +209,10 @@ def feature_correlation(
     y = F.col(target).cast("double")
 
     def pair(f: str) -> Column:
-        r = F.corr(F.col(f).cast("double"), y)
-        return half_even(F.when(~F.isnan(r), r), digits)
+        # Not corr(): a constant feature divides by zero there.
+        x = F.when(y.isNotNull(), F.col(f).cast("double"))
+        spread = F.stddev_pop(x) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return half_even(F.try_divide(F.covar_pop(x, y), spread), digits)
 
     out = _one_row_per(df, {f: {"correlation": pair(f)} for f in features})
     return out.withColumn("strength", F.abs("correlation"))
