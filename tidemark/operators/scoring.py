@@ -198,9 +198,10 @@ def scoring_summary(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(level == "moyen").alias("medium_risk"),
         F.count_if(level == "faible").alias("low_risk"),
         half_even(
-            F.sum(F.round(F.col("churn_proba") * 10000).cast("bigint")).cast("double")
-            / 10000.0
-            / F.count("churn_proba"),
+            F.try_divide(
+                F.sum(F.round(F.col("churn_proba") * 10000).cast("bigint")).cast("double") / 10000.0,
+                F.count("churn_proba").cast("double"),
+            ),
             4,
         ).alias("mean_score"),
     )
