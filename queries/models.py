@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from queries import common as c
-from queries.aggregations import BY, ECONOMICS, _both_models, _CONFUSION, _F1, _MODELS
+from queries.aggregations import BY, ECONOMICS, _both_models, _CONFUSION, _DRIFT_ROWS, _F1, _MODELS, drift_sql
 from queries.sources import journal_lines
 from queries.windows import CHAIN, recursive
 from tidemark.operators import decisions, metrics, roi as returns, scoring
@@ -124,7 +124,7 @@ def monitoring_report(spark, sf):
         threshold=c.THRESHOLD,
         erasures=star.erasure_requests(spark, sf),
     )
-    return monitoring.as_document(report)
+    return report.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
 def compliance_checks(spark, sf):
@@ -225,6 +225,21 @@ UNION ALL SELECT *, 'critique', true, 'legal' FROM versus""",
             cases="(SELECT unnest(['optimistic', 'realistic', 'pessimistic']) AS scenario, unnest([0.8, 0.65, 0.5]::DOUBLE[]) AS success)",
         ),
     ),
+    "monitoring_report": c.sql(
+        *c.BASE,
+        c.FEATS_ENDS,
+        c.scores_sql(c.V1),
+        "both_scores AS (SELECT * FROM scores WHERE snapshot_date = (SELECT max(t) FROM snap))",
+        f"d AS (WITH {drift_sql(MODEL_FEATURES)} SELECT count(*) AS features_analysed, count(*) FILTER (drifted) AS features_drifted, bool_or(drifted) AS drift_detected, max(psi) AS psi_max FROM ({_DRIFT_ROWS}))",
+        f"p AS (WITH {drift_sql(['churn_proba'], 'scores')} SELECT {H('psi', 4)} AS psi_predictions, coalesce(psi >= 0.2, false) AS predictions_drifted FROM psi)",
+        f"e AS (SELECT model_version, n AS rows, {H(_F1, 4)} AS f1, {H(H(_F1, 4) + ' - 0.9::DOUBLE', 4)} AS performance_delta FROM ({_CONFUSION}))",
+        "r AS (SELECT count(*) AS erasure_requests FROM customer WHERE c_custkey % 97 = 0 AND c_custkey % 2 = 0)",
+        select="""SELECT *, 120 AS model_age_days, true AS should_retrain,
+       CASE WHEN erasure_requests > 0 THEN 'critique' WHEN performance_delta <= -0.05 OR (features_drifted >= 2 AND predictions_drifted) THEN 'haute' ELSE 'routine' END AS priority,
+       concat_ws(',', CASE WHEN erasure_requests > 0 THEN 'erasure' END, CASE WHEN performance_delta <= -0.05 THEN 'performance' END,
+                 CASE WHEN features_drifted >= 2 AND predictions_drifted THEN 'joint_drift' END, 'age') AS reasons
+FROM d, p, e, r""",
+    ),
     "compliance_checks": recursive(
         CHAIN,
         c.CONSENT,

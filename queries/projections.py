@@ -176,7 +176,7 @@ def row_contract(spark, sf):
 
 
 def bounded_sample(spark, sf):
-    return insights.bounded_sample(c.features(spark, sf, "latest"), 1000)
+    return insights.bounded_sample(c.features(spark, sf), 1000, ["customer_id", "snapshot_date"])
 
 
 def quality_warnings(spark, sf):
@@ -312,6 +312,11 @@ FROM tx WHERE order_date <= {REF_SQL} GROUP BY customer_id) WHERE days_since_fir
        CASE WHEN problems = '' THEN 'scorable' ELSE 'quarantined' END AS status
 FROM (SELECT customer_id, snapshot_date, concat_ws('; ', {', '.join(_RULES)}) AS problems FROM served)""",
     ),
+    "bounded_sample": c.sql(
+        *c.BASE,
+        c.FEATS,
+        select="""SELECT * FROM feats ORDER BY md5(customer_id || '|' || snapshot_date), customer_id, snapshot_date LIMIT 1000""",
+    ),
     "quality_warnings": c.sql(
         c.TX,
         select="""SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(sum(neg) AS BIGINT) AS negative_values,

@@ -342,15 +342,15 @@ def running_state(tx: DataFrame, cfg: SnapshotConfig = SnapshotConfig()) -> Data
     """Cumulative count, sum, mean, max and first date at every order instant.
 
     Orders are first combined per instant. The running totals are then taken
-    inside (customer, calendar month) pieces and shifted by the totals of the
-    earlier months, so no window holds more than one customer-month.
+    inside (customer, calendar day) pieces and shifted by the totals of the
+    earlier days, so no window holds more than one day of a customer.
     """
     units = to_units(F.col("order_value"), cfg.amount_decimals)
     instants = (
         tx.filter(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
         .groupBy(
             "customer_id",
-            F.date_trunc("month", "order_date").cast("timestamp_ntz").alias("piece"),
+            F.to_date("order_date").alias("piece"),
             "order_date",
         )
         .agg(

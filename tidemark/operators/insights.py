@@ -278,6 +278,7 @@ def quantile_points(cumulative: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def bounded_sample(df: DataFrame, n: int = 1000, by: str = "customer_id") -> DataFrame:
-    """``n`` rows in the order of a hash of the key: the same rows on every run."""
-    return df.orderBy(F.xxhash64(by), F.col(by)).limit(n)
+def bounded_sample(df: DataFrame, n: int = 1000, by: Sequence[str] = ("customer_id",)) -> DataFrame:
+    """``n`` rows in the order of a digest of the key: the same rows on every run."""
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in by]))
+    return df.orderBy(digest, *by).limit(n)

@@ -62,11 +62,11 @@ def stage_daily(df: DataFrame, path: str, day: dt.date) -> None:
 def write_features(df: DataFrame, path: str, dynamic: bool = True) -> None:
     """Feature table laid out by snapshot, so that a date filter reads only its files.
 
-    Rows are sent to the tasks by snapshot and a slice of the customers: one
-    snapshot is written by several tasks, and no task writes to every folder.
+    ``rebalance`` brings the rows of a date together and lets adaptive execution
+    split a large date over several tasks and merge small ones: no task writes
+    to every folder and no date is written by one task.
     """
-    slices = F.pmod(F.xxhash64("customer_id"), F.lit(16))
-    writer = df.repartition("snapshot_date", slices).write.mode("overwrite")
+    writer = df.hint("rebalance", "snapshot_date").write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("snapshot_date").parquet(path)
@@ -82,6 +82,7 @@ def write_scores(df: DataFrame, path: str) -> None:
     """Scores by scoring day."""
     (
         df.withColumn("scored_on", F.to_date("scored_at"))
+        .hint("rebalance", "scored_on")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("scored_on")
