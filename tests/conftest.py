@@ -20,6 +20,8 @@ def spark():
         shuffle_partitions=4,
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        # Tests are short: the first compiler tier alone starts them sooner.
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

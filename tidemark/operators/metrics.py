@@ -222,7 +222,7 @@ def lift_at(
     return one.select(F.inline(rows))
 
 
-def threshold_sweep(
+def _sweep(
     df: DataFrame,
     groups: Sequence[str],
     economics: CampaignEconomics = CampaignEconomics(),
@@ -230,12 +230,7 @@ def threshold_sweep(
     proba: str = "churn_proba",
     target: str = "churn",
 ) -> DataFrame:
-    """The 91 thresholds 0.05 .. 0.95 with contact rate, precision and net value.
-
-    Scores are counted once per threshold interval and accumulated from the top;
-    the data is read once, not 91 times. Thresholds contacting nobody or more
-    than the capacity are left out.
-    """
+    """Counts and unrounded net value per threshold, those within the capacity only."""
     groups = list(groups)
     start, step = 0.05, (0.05 + 0.01) - 0.05
     grid = [start + i * step for i in range(91)]
@@ -284,14 +279,39 @@ def threshold_sweep(
     )
     return swept.select(
         *groups,
-        half_even(F.get(limits, F.col("slot")), 2).alias("threshold"),
+        F.get(limits, F.col("slot")).alias("threshold"),
         "contacted",
-        half_even(F.col("contacted") / F.col("total"), 4).alias("contact_rate"),
-        half_even(F.col("tp") / F.col("contacted"), 4).alias("precision"),
-        half_even(economics.net_value(F.col("tp"), F.col("contacted")), 2).alias("net_value"),
+        (F.col("contacted") / F.col("total")).alias("contact_rate"),
+        (F.col("tp") / F.col("contacted")).alias("precision"),
+        economics.net_value(F.col("tp"), F.col("contacted")).alias("net_value"),
     )
 
 
+#: Decimals of the reported figures.
+_SHOWN = {"threshold": 2, "contact_rate": 4, "precision": 4, "net_value": 2}
+
+
+def _shown(swept: DataFrame) -> DataFrame:
+    return swept.withColumns({n: half_even(F.col(n), d) for n, d in _SHOWN.items()})
+
+
+def threshold_sweep(
+    df: DataFrame,
+    groups: Sequence[str],
+    economics: CampaignEconomics = CampaignEconomics(),
+    max_contact_rate: float = MAX_CONTACT_RATE,
+    proba: str = "churn_proba",
+    target: str = "churn",
+) -> DataFrame:
+    """The 91 thresholds 0.05 .. 0.95 with contact rate, precision and net value.
+
+    Scores are counted once per threshold interval and accumulated from the top;
+    the data is read once, not 91 times. Thresholds contacting nobody or more
+    than the capacity are left out.
+    """
+    return _shown(_sweep(df, groups, economics, max_contact_rate, proba, target))
+
+
 def best_threshold(
     df: DataFrame,
     groups: Sequence[str],
@@ -302,9 +322,9 @@ def best_threshold(
 ) -> DataFrame:
     """The sweep's row of highest net value, lowest threshold first; 0.5 where none fits."""
     groups = list(groups)
-    swept = threshold_sweep(df, groups, economics, max_contact_rate, proba, target)
+    swept = _sweep(df, groups, economics, max_contact_rate, proba, target)
     order = Window.partitionBy(*groups).orderBy(F.desc("net_value"), F.asc("threshold"))
-    best = swept.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+    best = _shown(swept.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r"))
     everyone = df.select(*groups).distinct()
     return everyone.join(best, groups, "left").select(
         *groups,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.temporal import naive_utc
 from tidemark.operators import consent
 from tidemark.schemas import CONSENT, ERASURE_REQUESTS, TRANSACTIONS
 
@@ -28,9 +29,16 @@ def read_transactions(
 ) -> DataFrame:
     """Transactions from CSV or Parquet, by extension unless ``fmt`` says."""
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
-    if fmt == "csv":
-        return read_csv(spark, path, schema)
-    return spark.read.parquet(path)
+    raw = read_csv(spark, path, schema) if fmt == "csv" else spark.read.parquet(path)
+    return normalise_transactions(raw)
+
+
+def normalise_transactions(df: DataFrame) -> DataFrame:
+    """Order dates of any source type as UTC wall clock, which every operator expects."""
+    dtype = dict(df.dtypes).get("order_date")
+    if dtype in (None, "timestamp_ntz"):
+        return df
+    return df.withColumn("order_date", naive_utc(F.col("order_date"), dtype))
 
 
 def read_consent(spark: SparkSession, path: str, fmt: str = "csv", schema: StructType = CONSENT) -> DataFrame:
