@@ -86,8 +86,18 @@ def roc_auc(
     Twice the number of ordered pairs is summed as an exact decimal, so neither
     rounding nor the order of the partial sums plays a part.
     """
-    hist = score_histogram(df, groups, proba, target).withColumn("_bucket", unit_bucket(F.col("score")))
-    below = running_totals(hist, groups, "score", ["neg"])
+    return _auc(_written_histogram(df, groups, proba, target), groups)
+
+
+def _written_histogram(df: DataFrame, groups: Sequence[str], proba: str, target: str) -> DataFrame:
+    """The histogram as a table: prefix sums read it twice, and what made the scores
+    is usually a long plan that should not be optimised again at every stage."""
+    return materialize(score_histogram(df, groups, proba, target), "histogram")
+
+
+def _auc(hist: DataFrame, groups: Sequence[str]) -> DataFrame:
+    cut = hist.withColumn("_bucket", unit_bucket(F.col("score")))
+    below = running_totals(cut, groups, "score", ["neg"])
     wide = "decimal(19,0)"
     pairs = F.col("pos").cast(wide) * (F.col("cum_neg") * 2 - F.col("neg")).cast(wide)
     sums = below.groupBy(*groups).agg(
@@ -117,7 +127,7 @@ def evaluate(
     Everything but the area comes from the histogram that the area needs anyway.
     """
     groups = list(groups)
-    hist = score_histogram(df, groups, proba, target)
+    hist = _written_histogram(df, groups, proba, target)
     hit = F.col("score") >= threshold
     n = F.col("pos") + F.col("neg")
     s = F.col("score")
@@ -145,7 +155,7 @@ def evaluate(
             half_even(F.col("total") / F.col("rows"), 4).alias("mean_score"),
         )
     )
-    out = basic.join(roc_auc(df, groups, proba, target), groups)
+    out = basic.join(_auc(hist, groups), groups)
     if baseline_f1 is not None:
         out = out.withColumn("f1_delta", half_even(F.col("f1") - F.lit(baseline_f1), 4))
     return out
@@ -245,10 +255,11 @@ def _sweep(
         .otherwise(g)
     )
     hist = score_histogram(df, groups, proba, target)
-    counted = (
+    counted = materialize(
         hist.select(*groups, slot.alias("slot"), "pos", "neg")
         .groupBy(*groups, "slot")
-        .agg(F.sum("pos").alias("pos"), F.sum(F.col("pos") + F.col("neg")).alias("n"))
+        .agg(F.sum("pos").alias("pos"), F.sum(F.col("pos") + F.col("neg")).alias("n")),
+        "threshold-counts",
     )
     # Every threshold gets a row even where no score falls between it and the next.
     axis = counted.groupBy(*groups).agg(F.sum("n").alias("total")).select(
