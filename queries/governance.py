@@ -11,6 +11,7 @@ from queries.ranking import _LAST_SCORES
 from queries.sources import journal_entries, journal_lines
 from queries.windows import CHAIN, recursive
 from tidemark.operators import consent, journal, privacy
+from tidemark.session import materialize
 from tidemark.sources import star
 
 #: A key for the comparison with SQL; a real one comes from the caller's secret store.
@@ -95,7 +96,7 @@ def journal_append_to_existing(spark, sf):
     old = entries.filter(F.col("at") < c.ntz(SPLIT_AT))
     new = entries.filter(F.col("at") >= c.ntz(SPLIT_AT))
     options = {"order_by": ["at", "order_id"], "details": ["order_id", "priority"]}
-    first = journal.append(old, **options)
+    first = materialize(journal.append(old, **options), "journal")
     heads = first.groupBy("journal_id").agg(F.max("seq").alias("seq"), F.max_by("line", "seq").alias("line"))
     return first.unionByName(journal.append(new, heads=heads, **options))
 

@@ -129,7 +129,7 @@ def monitoring_report(spark, sf):
 
 def compliance_checks(spark, sf):
     return monitoring.compliance_checks(
-        journal_lines(spark, sf), star.consent_registry(spark, sf), star.erasure_requests(spark, sf), c.as_of(spark, sf)
+        materialize(journal_lines(spark, sf), "journal"), star.consent_registry(spark, sf), star.erasure_requests(spark, sf), c.as_of(spark, sf)
     )
 
 

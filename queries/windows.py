@@ -8,6 +8,7 @@ from queries import common as c
 from queries.aggregations import RFM
 from queries.sources import journal_lines
 from tidemark.operators import features as feat, insights, journal, roi as returns
+from tidemark.session import materialize
 from tidemark.sources import star
 
 
@@ -38,13 +39,13 @@ def rfm_segments(spark, sf):
 
 def verify_journal(spark, sf):
     """Journals whose urgent entries were removed after writing."""
-    lines = journal_lines(spark, sf)
+    lines = materialize(journal_lines(spark, sf), "journal")
     tampered = lines.filter(F.get_json_object("line", "$.details.priority") != "1-URGENT")
     return journal.verify(tampered)
 
 
 def verify_journal_intact(spark, sf):
-    return journal.verify(journal_lines(spark, sf))
+    return journal.verify(materialize(journal_lines(spark, sf), "journal"))
 
 
 def roi_timeline(spark, sf):

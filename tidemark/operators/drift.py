@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import side_by_side
 from tidemark.functions.numeric import half_even
 from tidemark.operators.ordered import quantile_bucket, running_totals
 from tidemark.session import materialize
@@ -278,10 +279,9 @@ def prediction_drift(
             F.avg(F.when(F.col("side") == 0, (F.col("p") > high).cast("double"))).alias("high_ref"),
             F.avg(F.when(F.col("side") == 1, (F.col("p") > high).cast("double"))).alias("high_cur"),
         )
-        .withColumn("feature", F.lit(proba))
     )
     value = F.col("psi")
-    return base.join(F.broadcast(share), "feature").select(
+    return side_by_side(base, share).select(
         half_even(value, 4).alias("psi"),
         interpretation(value).alias("interpretation"),
         F.coalesce(value >= threshold, F.lit(False)).alias("drift_detected"),

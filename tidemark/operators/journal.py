@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import JOURNAL_ENTRY, JOURNAL_SEED
+from tidemark.session import materialize
 
 CHAINED = "journal_id {id}, seq bigint, line string"
 
@@ -76,18 +77,21 @@ def verify(lines: DataFrame) -> DataFrame:
 
     ``lines`` is (journal_id, seq, line); gaps in ``seq`` are breaks where lines
     were removed only if the digests say so. Checking needs no order of work:
-    entries are renumbered, and each one meets its predecessor in an equi-join on
-    (journal, number), which spreads even a single long journal evenly.
+    entries are renumbered and reduced to two digests, and each one meets its
+    predecessor in an equi-join on (journal, number), which spreads even a single
+    long journal evenly.
     """
-    numbered = _renumber(lines)
-    here = numbered.select(
-        "journal_id",
-        "n",
-        F.get_json_object("line", "$.previous_hash").alias("claimed"),
-    )
-    there = numbered.select(
-        "journal_id", (F.col("n") + 1).alias("n"), F.sha2("line", 256).alias("actual")
+    numbered = materialize(
+        _renumber(lines).select(
+            "journal_id",
+            "n",
+            F.get_json_object("line", "$.previous_hash").alias("claimed"),
+            F.sha2("line", 256).alias("actual"),
+        ),
+        "journal-digests",
     )
+    here = numbered.select("journal_id", "n", "claimed")
+    there = numbered.select("journal_id", (F.col("n") + 1).alias("n"), "actual")
     checked = here.join(there, ["journal_id", "n"], "left")
     expected = F.when(F.col("n") == 0, JOURNAL_SEED).otherwise(F.col("actual"))
     broken = ~F.col("claimed").eqNullSafe(expected)
