@@ -177,7 +177,9 @@ def test_prediction_drift_of_disjoint_scores(spark):
     rng = random.Random(0)
     low = spark.createDataFrame([(rng.random() * 0.3,) for _ in range(500)], "churn_proba double")
     high = spark.createDataFrame([(0.7 + rng.random() * 0.3,) for _ in range(500)], "churn_proba double")
-    r = drift.prediction_drift(low, high).first()
+    out = drift.prediction_drift(low, high)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    r = out.first()
     assert r.drift_detected and r.interpretation == "dérive significative" and r.high_share_ref == 0.0
 
 
