@@ -254,6 +254,17 @@ def test_feature_contract_sees_negative_age_and_repeated_keys(spark):
     assert got["two_classes"] and got["several_snapshots"]
 
 
+def test_label_classes(spark):
+    def of(*labels):
+        got = verdicts(contracts.contract_features(spark.createDataFrame([("a", x) for x in labels], "customer_id string, churn int")))
+        return got["label_binary"], got["two_classes"]
+
+    assert of(0, 1, None) == (True, True)
+    assert of(1, 1) == (True, False)
+    assert of(0, 1, 2) == (False, False)
+    assert of(1, 2) == (False, True)
+
+
 def test_scoring_contract_wants_order_and_finite_values(spark):
     df = spark.createDataFrame([(1.0, float("inf"))], "b double, a double")
     assert verdicts(contracts.contract_scoring(df, ["a", "b"])) == {"schema_as_trained": False, "no_infinite_value": False, "recency_not_negative": True}

@@ -204,8 +204,8 @@ def feature_expectations(df: DataFrame, stable_schema: Sequence[str] | None = No
             "snapshots",
         ),
         Expectation("label_present", "churn" in df.columns),
-        Expectation("label_binary", F.count_if(~churn.isin(0, 1)) == 0, ("churn",)),
-        Expectation("two_classes", F.min(churn) != F.max(churn), ("churn",)),
+        Expectation("label_binary", F.count_if(~churn.isin(0, 1)) == 0, ("churn",), True, "labels"),
+        Expectation("two_classes", F.count(churn) == 2, ("churn",), True, "labels"),
         Expectation("recency_not_negative", every(recency >= 0), ("days_since_last_order",)),
         Expectation(
             "first_order_before_last",
@@ -230,7 +230,15 @@ def _by_snapshot(df: DataFrame) -> DataFrame:
     return df.groupBy("snapshot_date").agg(rate.alias("_rate"))
 
 
-FEATURE_GROUPINGS: dict[str, Grouping] = {"keys": _by_key, "snapshots": _by_snapshot}
+def _by_label(df: DataFrame) -> DataFrame:
+    return df.groupBy("churn").agg(F.count(F.lit(1)).alias("_n"))
+
+
+FEATURE_GROUPINGS: dict[str, Grouping] = {
+    "keys": _by_key,
+    "snapshots": _by_snapshot,
+    "labels": _by_label,
+}
 
 
 def contract_features(df: DataFrame, stable_schema: Sequence[str] | None = None) -> DataFrame:
