@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import path as tokenizer_path
 
-from tidemark.llm import langid, sharding, simhash
+from tidemark.llm import decontam, langid, packing, secrets, sharding, simhash
 from tidemark.sources.star import table
 
 
@@ -28,10 +29,27 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARD_NAMES).select("doc_id", "source", "n_chars", "slot", "shard")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.drop("row_key")
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_language_id": op2_language_id,
     "op3_sharding": op3_sharding,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: The table is filled one claim a step; the last step has all slots.
@@ -56,4 +74,29 @@ FROM (SELECT *, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGI
 JOIN owned USING (slot)
 """
 
-ORACLES = {"op3_sharding": OP3_SQL}
+OP10_SQL = r"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i : i + least(len(ws), 13) - 1], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS i FROM items WHERE len(ws) > 0)),
+there AS (
+  SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM lowered, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n)),
+found AS (SELECT doc_id, item_id, i, t.n FROM there t JOIN windows USING (w)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM lowered LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES = {"op3_sharding": OP3_SQL, "op10_decontamination": OP10_SQL}
