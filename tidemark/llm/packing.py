@@ -24,7 +24,7 @@ from tidemark.session import materialize
 CAPACITY = 2048
 END_ID = 0
 #: Words remembered per Python worker; beyond it the memory starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&]*)")
 _BLANKS = "\t\n\v\f\r"
 
@@ -42,6 +42,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
+        vocabulary = self.inner.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.last[i] = token.endswith("</w>")
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
 
@@ -51,27 +55,52 @@ class WordTokenizer:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.parts]
-        for part, found in zip(new, self.inner.encode_batch_fast(new, add_special_tokens=False)):
+    def _learn(self, letters: set[str], others: set[str]) -> None:
+        """Ids of parts that are not known yet: of plain letters many at a time, as each ends a word."""
+        letters = [p for p in letters if p not in self.parts]
+        for low in range(0, len(letters), 1000):
+            some = letters[low : low + 1000]
+            ids = np.array(self.inner.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(ends) != len(some):
+                raise ValueError("this tokenizer joins or splits words of letters")
+            raw = ids.tobytes()
+            for part, a, b in zip(some, [0, *ends], ends):
+                self.parts[part] = raw[a:b]
+        rest = [p for p in others if p not in self.parts]
+        for part, found in zip(rest, self.inner.encode_batch_fast(rest, add_special_tokens=False)):
             self.parts[part] = np.array(found.ids, "<u4").tobytes()
 
+    def _remember(self, new: set[str]) -> None:
+        plain = {w: m for w in new if (m := _PLAIN.fullmatch(w))}
+        self._learn({m[1].lower() for m in plain.values()}, {m[2] for m in plain.values()} | (new - plain.keys()))
+        for w in new:
+            m = plain.get(w)
+            self.words[w] = self.parts[m[1].lower()] + self.parts[m[2]] if m else self.parts[w]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = []
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.parts = {"": b""}, {"": b""}
+        split, found, new, get = [], [], set(), self.words.get
         for text in texts:
             for blank in _BLANKS:
                 text = text.replace(blank, " ")
-            split.append(text.split(" "))
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.parts = {"": b""}, {"": b""}
-        new = {w for words in split for w in words if w not in self.words}
-        plain = {w: m for w in new if (m := _PLAIN.fullmatch(w))}
-        self._learn({m[1].lower() for m in plain.values()} | {m[2] for m in plain.values()} | (new - plain.keys()))
-        for w in new:
-            m = plain.get(w)
-            self.words[w] = self.parts[m[1].lower()] + self.parts[m[2]] if m else self.parts[w]
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            words = text.split(" ")
+            known, at = list(map(get, words)), []
+            try:
+                while True:
+                    at.append(known.index(None, at[-1] + 1 if at else 0))
+            except ValueError:
+                pass
+            new.update([words[i] for i in at])
+            split.append((words, at))
+            found.append(known)
+        self._remember(new)
+        for (words, at), known in zip(split, found):
+            for i in at:
+                known[i] = self.words[words[i]]
+        return [b"".join(known) for known in found]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
