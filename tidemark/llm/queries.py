@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from tidemark.llm import decontam, langid, packing, secrets, sharding, simhash
+from tidemark.llm import decontam, langid, packing, parsing, secrets, sharding, simhash, substring, suffixes, wordpiece
 from tidemark.sources.star import table
 
 
@@ -29,10 +29,26 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARD_NAMES).select("doc_id", "source", "n_chars", "slot", "shard")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return parsing.edit_likeness(table(spark, sf, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return secrets.scan(docs, secrets.fit(docs))
@@ -47,7 +63,11 @@ QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_language_id": op2_language_id,
     "op3_sharding": op3_sharding,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
 }

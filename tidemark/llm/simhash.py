@@ -218,7 +218,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 4, shingle: int = 4, bands
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its class; rows without a doc_id stay."""
+    """The rows of ``docs`` whose doc_id is the smallest of its class.
+
+    Rows without a doc_id stay; rows of one doc_id count as one document.
+    """
     found = near_duplicates(docs, **options)
     later = found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
