@@ -1,0 +1,342 @@
+"""The corpus operators against brute force, and on the odd cases their docstrings define."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from public_tokenizers import path as tokenizer_path
+from pyspark.sql import functions as F
+
+from queries.common import star
+from tests.oracle import compare, connect
+from tidemark.llm import decontam, langid, packing, parsing, queries, secrets, sharding, simhash, substring, suffixes, wordpiece
+from tidemark.llm.graph import components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start int, fp string, shard string, bucket int"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, copies, repeated rows, and columns whose names the operators use."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdeé ") for _ in range(r.randint(2, 8))).replace(" ", "") or "x"
+    long_ = " ".join(word() for _ in range(3000))
+    base = " ".join(word() for _ in range(60))
+    texts = [None, "", "   \n", base, base, base.replace(" ", "\n", 3), base + " more", "To " * 40, long_, "mixed " + long_[500:4000], "ÀB 中文 \x85x\x1cy", "7 7 7 12", base[:150], "tail " + base[100:]]
+    rows = [(i, t, "en", "s", 1, 2, "f", "g", 3) for i, t in enumerate(texts)]
+    rows += [rows[3], (None, base, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return star.table(spark, sf, "documents")
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def key(doc_id):
+    return -(1 << 63) if doc_id is None else doc_id
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def fingerprint(text):
+    words = split("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    h = [xxhash.xxh64(" ".join(words[i : i + 4]).encode(), seed=42).intdigest() for i in range(max(1, len(words) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+@pytest.mark.parametrize("tile_rows", [4096, 3])
+def test_simhash_equals_all_pairs(which, tile_rows, request):
+    df = request.getfixturevalue(which)
+    rows = pairs(df)
+    prints = [fingerprint(t) for _, t in rows]
+    root = list(range(len(rows)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(doc_id, least.get(find(i), doc_id))
+    expected = sorted((str(d), f"{p:016x}", str(least.get(find(i)))) for i, ((d, _), p) in enumerate(zip(rows, prints)))
+    found = simhash.near_duplicates(df, tile_rows=tile_rows).collect()
+    assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in found) == expected
+
+
+def test_anchors_meet_every_pair_within_the_threshold():
+    r = np.random.default_rng(5)
+    for width in (21, 22):
+        flips = simhash._flips(width, 2)
+        syndrome = simhash._syndromes()
+        near = lambda x: {int(x ^ s) for s in flips[syndrome[x & 0x7FFF]]}
+        for x in r.integers(0, 1 << width, 50).tolist():
+            home = x ^ int(flips[syndrome[x & 0x7FFF]][0])
+            assert all(home in near(x ^ (1 << b)) for b in range(width)) and home in near(x)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(5, 5), (None, 3)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {**{i: 0 for i in range(1, 41)}, **{x: 100 for x in range(101, 130)}}
+
+
+def test_language_is_learnt_without_held_out_rows(docs, odd, none):
+    model = langid.fit_documents(docs, sample_rows=40)
+    found = langid.predict(docs.select("doc_id", "text", "lang"), model).withColumn("held", langid.held_out(F.col("doc_id"))).collect()
+    held = [r for r in found if r["held"]]
+    assert held and sum(r["lang"] == r["lang_pred"] for r in held) / len(held) > 0.9
+    assert all(r["held"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in found)
+    got = {(r["doc_id"], r["text"]): r for r in langid.predict(odd, model).collect()}
+    assert got[0, None]["lang_pred"] == got[1, ""]["lang_pred"] == got[11, "7 7 7 12"]["lang_pred"] == "und"
+    assert all(0 <= r["score"] <= 1 and r["source"] in ("s", None) for r in got.values())
+    assert langid.predict(none, model).count() == 0 and langid.fit_documents(none).languages == []
+
+
+def test_table_placement(spark, odd, none):
+    names = [f"n{i}" for i in range(7)]
+    owner = sharding.fill(names, 701)
+    assert max(map(owner.count, range(7))) - min(map(owner.count, range(7))) <= 1
+    fewer = sharding.fill(names[:-1], 701)
+    assert sum(a != b for a, b in zip(owner, fewer) if a != 6) < 701 // 4
+    found = sharding.place(odd, "doc_id", names, 701).collect()
+    assert len(found) == odd.count()
+    for r in found:
+        slot = int(hashlib.md5(str("" if r["doc_id"] is None else r["doc_id"]).encode()).hexdigest()[:15], 16) % 701
+        assert (r["slot"], r["shard"]) == (slot, names[owner[slot]])
+    assert sharding.place(none, "doc_id", names, 701).count() == 0
+    with pytest.raises(ValueError):
+        sharding.fill(names, 700)
+
+
+def edited(rows):
+    rows = sorted(((key(d), t or "") for d, t in rows), key=lambda x: (x[0], x[1].encode()))
+    out = []
+    for i, (_, text) in enumerate(rows):
+        n = len(text) // 4
+        out.append(hashlib.sha256((text[: len(text) - n] + rows[(i + 1) % len(rows)][1][:n]).encode()).hexdigest())
+    return sorted(out)
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_document_fingerprints(which, request, none):
+    df = request.getfixturevalue(which)
+    found = parsing.edit_likeness(df).collect()
+    assert sorted(r["edited_sha256"] for r in found) == edited(pairs(df))
+    texts = {}
+    for (d, t), (_, f) in zip(sorted(pairs(df), key=str), sorted(((r["doc_id"], r["fingerprint"]) for r in found), key=str)):
+        texts.setdefault(t or "", set()).add(f)
+    assert which == "odd" or all(len(x) == 1 for x in texts.values())
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
+    assert parsing.edit_likeness(none).count() == 0
+    if which == "docs":
+        assert np.median([r["near_edited"] for r in found]) > 0.6 > 0.1 > np.median([r["near_next"] for r in found])
+
+
+def test_equal_substrings_share_names_at_any_offset():
+    r = random.Random(1)
+    body = "".join(r.choice("abcdefgh ") for _ in range(4000))
+    a, b = parsing.sketched([body + "x" * 50, "some other start " + body])
+    assert parsing.likeness(a[None], b[None])[0] > 0.8
+    assert (parsing.sketched([body, "", body])[[0]] == parsing.sketched([body])).all()
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_packing_round_trip(which, request, none):
+    from tokenizers import Tokenizer
+
+    df, path = request.getfixturevalue(which), tokenizer_path("word_bpe_49k.json")
+    inner, expected = Tokenizer.from_file(path), []
+    for doc_id, text in pairs(df):
+        ids = [*inner.encode(text or "", add_special_tokens=False).ids, 0]
+        expected += [(str(doc_id), i, at, len(ids[at : at + 2048]), zlib.crc32(np.array(ids[at : at + 2048], "<u4").tobytes())) for i, at in enumerate(range(0, len(ids), 2048))]
+    found = packing.pack_documents(df, path, group_items=64).collect()
+    assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == sorted(expected)
+    by = {}
+    for r in sorted(found, key=lambda r: r["offset"]):
+        assert r["offset"] == by.get(r["sequence_id"], 0)
+        by[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(by.values()) <= 2048
+    assert packing.pack_documents(none, path).count() == 0
+
+
+def test_local_search_empties_bins():
+    start = [[0], [1], [2], [3], [4, 5]]
+    sizes = [6, 4, 7, 3, 5, 5]
+    assert sorted(sum(sizes[i] for i in b) for b in packing.local_search(sizes, 10, start)) == [10, 10, 10]
+    r = random.Random(2)
+    sizes = [r.randint(1, 99) for _ in range(400)]
+    found = packing.local_search(sizes, 100)
+    assert sorted(i for b in found for i in b) == list(range(400)) and max(sum(sizes[i] for i in b) for b in found) <= 100
+    assert len(found) <= min(1.05 * sum(sizes) / 100, len(packing._best_fit(sizes, 100)))
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_word_windows(which, hot, request, none):
+    df = request.getfixturevalue(which)
+    rows, first = pairs(df), {}
+    for d, t in rows:
+        w = split(t)
+        for k in range(len(w) - 12):
+            first[tuple(w[k : k + 13])] = min(key(d), first.get(tuple(w[k : k + 13]), key(d)))
+    expected = []
+    for d, t in rows:
+        w = split(t)
+        gone = {i for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < key(d) for i in range(k, k + 13)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        expected.append((str(d), len(w), len(gone), kept, hashlib.sha256(kept.encode()).hexdigest()))
+    found = substring.remove_repeats(df, hot=hot).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"], r["kept_sha256"]) for r in found) == sorted(expected)
+    assert substring.remove_repeats(none, hot=hot).count() == 0
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_byte_windows(which, hot, spark, request, none):
+    df = request.getfixturevalue(which)
+    # Rows of one doc_id follow each other by a hash that the test need not repeat: take them singly.
+    rows = sorted({d: t for d, t in pairs(df) if d is not None}.items())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, expected = set(), []
+    for d, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - 99):
+            if data[k : k + 100] in seen:
+                gone[k : k + 100] = b"\1" * 100
+            seen.add(data[k : k + 100])
+        kept = bytes(x for x, g in zip(data, gone) if not g)
+        expected.append((d, len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), kept))
+    found = suffixes.remove_repeats(df, hot=hot).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found] == expected
+    assert suffixes.remove_repeats(none, hot=hot).count() == 0
+
+
+def test_repeated_rows_do_not_remove_each_other(odd):
+    got = [r["n_removed"] for r in suffixes.remove_repeats(odd).collect() if r["doc_id"] == 3]
+    assert len(got) == 2 and got[0] == got[1]
+
+
+def test_longest_previous_factor_against_brute_force():
+    r = random.Random(8)
+    text = bytes(r.choice(b"ab") for _ in range(300))
+    span, n = 9, 300
+    room = n - np.arange(n)
+    first = suffixes._words_at(text + bytes(8))[:n]
+    for i in range(n - 7, n):
+        first[i] = int.from_bytes((text[i:] + bytes(8))[:8], "big")
+    order, rank = suffixes._suffix_order(first, room, span)
+    whole = room >= span
+    got = suffixes.longest_previous(order[whole[order]], rank[whole], np.arange(whole.sum()))
+    assert got.tolist() == [text[i : i + span] in {text[j : j + span] for j in range(i)} for i in range(n - span + 1)]
+
+
+def test_token_counts_are_greedy_longest_match(odd, docs, none):
+    path = tokenizer_path("word_bpe_49k.json")
+    vocabulary = set(wordpiece.read_vocabulary(path))
+    most = max(map(len, vocabulary))
+
+    def greedy(word):
+        n, at = 0, 0
+        while at < len(word):
+            end = next(e for e in range(min(len(word), at + most), at, -1) if word[at:e] in vocabulary)
+            at, n = end, n + 1
+        return n
+
+    for df in (odd, docs.limit(60)):
+        for r, (_, t) in zip(wordpiece.token_counts(df, path).collect(), pairs(df)):
+            words = (t or "").encode().lower().split()
+            assert (r["n_words"], r["n_tokens"], r["n_unknown"]) == (len(words), sum(map(greedy, words)), 0)
+    assert wordpiece.token_counts(none, path).count() == 0
+    small = wordpiece.LongestMatch([b"a", b"ab", b"abcd", b"c", b"cx"])
+    assert [small.count(w) for w in (b"abcd", b"abc", b"abcx", b"abcdab", b"d", b"abd")] == [1, 2, 2, 2, 0, 0]
+
+
+SECRET_TEXT = 'é api_key = "abcdefghijkl" TOKEN: short AKIAABCDEFGHIJKLMN 0123456789abcdef password=a1b2c3d4e5f6g7h8'
+
+
+def test_base_findings():
+    found = [(secrets.KINDS[k], SECRET_TEXT[a:b]) for a, k, b, _, _ in secrets.base_findings(SECRET_TEXT)]
+    assert found == [("assign", 'api_key = "abcdefghijkl'), ("access", "AKIAABCDEFGHIJKLMN"), ("hex", "0123456789abcdef"), ("assign", "password=a1b2c3d4e5f6g7h8")]
+    assert secrets.base_findings("\u017fecret=abcdefghijklm to\u212aen=abcdefghijklm") == []
+
+
+def test_network_learns_and_keeps_base(spark, odd, none):
+    r = random.Random(4)
+    hexes = ["".join(r.choice("0123456789abcdef") for _ in range(32)) for _ in range(120)]
+    rows = [(i, f"some words token = \"{h}\" and order-{r.randint(10**6, 10**7)}-shipped") for i, h in enumerate(hexes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fit(df, sample=400, epochs=6)
+    label = np.array([x for x, _ in secrets.labelled_sample(df, 400)])
+    p = model.probability(np.array([x for _, x in secrets.labelled_sample(df, 400)]))
+    assert (p[label] >= model.threshold).mean() >= 0.9 and (p[~label] < model.threshold).mean() > 0.9
+    for x in secrets.scan(df, model).collect():
+        base = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b, _, _ in secrets.base_findings(rows[x["doc_id"]][1]))
+        assert x["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and base in x["spans"]
+    clean = secrets.redact(df, model).collect()
+    assert not any(h in x["text"] for x, h in zip(clean, hexes)) and len(clean) == 120
+    assert secrets.fit(odd) is None and secrets.fit(none) is None
+    assert sorted(map(str, secrets.redact(odd, None).collect())) == sorted(map(str, odd.collect()))
+    assert secrets.scan(none, None).count() == 0
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_decontamination(limit, spark, odd, none):
+    items = [(1, "To to TO"), (2, None), (3, " .. "), (3, "12 7"), (5, "中文"), (6, pairs(odd)[3][1]), (7, pairs(odd)[3][1][:40]), (8, "mixed zzz")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    expected = []
+    for d, t in pairs(odd):
+        w, hit, names = word(t), set(), set()
+        for i, x in items:
+            x = word(x)
+            n = min(13, len(x))
+            windows = {tuple(x[k : k + n]) for k in range(len(x) - n + 1)} if x else set()
+            for k in range(len(w) - n + 1) if x else ():
+                if tuple(w[k : k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    names.add(str(i))
+        expected.append((str(d), len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    found = decontam.contamination(odd, bench, broadcast_windows=limit).drop("row_key").collect()
+    assert sorted((str(r[0]), *r[1:]) for r in found) == sorted(expected)
+    assert decontam.drop_contaminated(odd, bench).count() == sum(not x[-1] for x in expected)
+    assert decontam.contamination(none, bench, broadcast_windows=limit).count() == 0
+    assert decontam.contamination(odd, bench.limit(0), broadcast_windows=limit).where("n_hit > 0").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_oracle(name, spark, sf):
+    assert compare(queries.QUERIES[name](spark, sf), connect(sf), queries.ORACLES[name]) == []
+
+
+def test_pipeline_stages(spark, sf, docs):
+    import corpus_pipeline
+
+    found = corpus_pipeline.run(spark, sf).collect()
+    kept = {r["doc_id"] for r in found}
+    near = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert kept and all(near[d] == d for d in kept)
+    bad = {r["doc_id"] for r in decontam.contamination(docs, star.table(spark, sf, "benchmark")).where("contaminated").collect()}
+    assert not bad & kept and kept == {d for d in near if near[d] == d} - bad
