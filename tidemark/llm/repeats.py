@@ -104,11 +104,21 @@ def shared_filter(counted: DataFrame, hot: int = HOT) -> Filter:
     return Filter(bits, _bitmap(counted, bits), _bitmap(counted.where(F.col("n") > hot), bits))
 
 
-def first_elsewhere(windows: DataFrame, order: Column) -> DataFrame:
-    """Windows (``h``, ``c``, ``doc``, ``key``, ``start``) that come after the first of their content."""
-    first = windows.groupBy("h", "c").agg(F.min(order).alias("first"))
-    later = windows.join(first, ["h", "c"]).where(order > F.col("first"))
-    return later.select("doc", "key", "start", F.col("start").alias("last"))
+def first_elsewhere(rows: DataFrame, order: Column, content: str, windows) -> DataFrame:
+    """Ranges of windows after the first of their content, for segments of crowded signatures.
+
+    ``rows`` are written segments with ``content``, and ``last``, the start of the last window.
+    Equal segments are settled as a whole; only the first of each kind is cut into windows
+    (``windows(rows)``: ``h``, ``c``, ``doc``, ``key``, ``start``), which are grouped and joined.
+    """
+    rows = rows.withColumn("body", F.xxhash64(content)).withColumn("order", order)
+    first = rows.groupBy("sig", "body").agg(F.min("order").alias("first"))
+    rows = rows.join(first, ["sig", "body"])
+    whole = rows.where(F.col("order") > F.col("first")).select("doc", "key", "start", "last")
+    single = windows(rows.where(F.col("order") == F.col("first"))).withColumn("order", order)
+    first = single.groupBy("h", "c").agg(F.min("order").alias("first"))
+    later = single.join(first, ["h", "c"]).where(F.col("order") > F.col("first"))
+    return whole.unionByName(later.select("doc", "key", "start", F.col("start").alias("last")))
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

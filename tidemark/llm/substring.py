@@ -22,10 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
+from tidemark.session import materialize
 
 WINDOW = 13
 SIDE = 3
@@ -87,8 +88,8 @@ def _signatures(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("doc", "text").mapInPandas(run, "sig long, doc long")
 
 
-def _segments(docs: DataFrame, known: repeats.Filter, window: int) -> DataFrame:
-    """``sig``, ``hot``, ``doc``, ``key``, ``start``, ``records`` (of its windows) of every segment that may be shared."""
+def _segments(docs: DataFrame, known: repeats.Filter, window: int, crowded: bool) -> DataFrame:
+    """``sig``, ``doc``, ``key``, ``start``, ``records`` (of its windows) of every segment that may be shared."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -97,16 +98,17 @@ def _segments(docs: DataFrame, known: repeats.Filter, window: int) -> DataFrame:
                 name = names(split(text))
                 sig, begin, end = parse(name, window)
                 shared, hot = known.ask(sig)
-                if shared.any():
-                    record = _window_records(name, window)
-                    for i in np.flatnonzero(shared):
-                        rows.append((sig[i : i + 1].view(np.int64)[0], hot[i], doc, key, begin[i], record[begin[i] : end[i] + 1].tobytes()))
+                own = np.flatnonzero(shared & (hot == crowded))
+                if len(own):
+                    raw, size = _window_records(name, window).tobytes(), _RECORD.itemsize
+                    for s, a, b in zip(sig[own].view(np.int64).tolist(), begin[own].tolist(), end[own].tolist()):
+                        rows.append((s, doc, key, a, b, raw[a * size : (b + 1) * size]))
                 if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=["sig", "hot", "doc", "key", "start", "records"])
+                    yield pd.DataFrame(rows, columns=["sig", "doc", "key", "start", "last", "records"])
                     rows = []
-            yield pd.DataFrame(rows, columns=["sig", "hot", "doc", "key", "start", "records"])
+            yield pd.DataFrame(rows, columns=["sig", "doc", "key", "start", "last", "records"])
 
-    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, hot boolean, doc long, key long, start int, records binary")
+    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, doc long, key long, start int, last int, records binary")
 
 
 def _ranges(doc: np.ndarray, key: np.ndarray, start: np.ndarray, later: np.ndarray, row: np.ndarray) -> pd.DataFrame:
@@ -120,6 +122,14 @@ def _ranges(doc: np.ndarray, key: np.ndarray, start: np.ndarray, later: np.ndarr
 
 def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     """Ranges of windows whose content also starts in a smaller document of this table."""
+    if pdf.empty:
+        return pd.DataFrame(columns=["doc", "key", "start", "last"], dtype="int64")
+    least = pdf.groupby(["sig", "records"], sort=False)["doc"].transform("min")
+    whole = pdf.loc[pdf["doc"] > least, ["doc", "key", "start", "last"]]  # all of it stands in that document
+    pdf = pdf[pdf["doc"] == least]
+    pdf = pdf[pdf.groupby("sig")["doc"].transform("nunique") > 1].reset_index(drop=True)
+    if pdf.empty:
+        return whole
     raw = pdf["records"].tolist()
     size = np.array([len(x) // _RECORD.itemsize for x in raw])
     record, row = np.frombuffer(b"".join(raw), _RECORD), np.repeat(np.arange(len(pdf)), size)
@@ -130,7 +140,7 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
     later = np.zeros(len(row), bool)
     later[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
-    return _ranges(doc, key, start, later, row)
+    return pd.concat([whole, _ranges(doc, key, start, later, row)], ignore_index=True)
 
 
 def by_signature(rows: DataFrame, work, schema: str, most: int = 60_000) -> DataFrame:
@@ -175,11 +185,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.H
     rows = repeats.keyed(docs)
     count = _signatures(rows, window).groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("a") != F.col("b")), hot)
-    found = _segments(rows, known, window)
-    few = by_signature(found.where(~F.col("hot")), _compare, RANGES)
-    order: Column = F.col("doc")
-    many = repeats.first_elsewhere(_unpacked(found.where("hot")), order)
-    return few.unionByName(many)
+    few = by_signature(_segments(rows, known, window, False), _compare, RANGES)
+    if not known.hot.any():
+        return few
+    crowded = materialize(_segments(rows, known, window, True), "crowded")
+    return few.unionByName(repeats.first_elsewhere(crowded, F.col("doc"), "records", _unpacked))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:

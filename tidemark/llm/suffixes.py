@@ -1,6 +1,6 @@
 """Repeated byte windows, by longest-previous-factor arrays over suffix order.
 
-Every 100-byte window picks the 16-byte gram inside it with the least hash (the first of
+Every 100-byte window picks the 32-byte gram inside it with the least hash (the first of
 equals). Windows that share a gram with another place form segments; segments of one gram
 meet in one task, with as many others as fit. There the suffixes of all segments are sorted
 by prefix doubling up to the window length. In suffix order the nearest suffixes on either
@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
+from tidemark.session import materialize
 from tidemark.llm.substring import RANGES, by_signature
 
 WINDOW = 100
-GRAM = 16
+GRAM = 32
 
 
 def raw(text: str) -> bytes:
@@ -43,7 +44,9 @@ def parse(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarr
     if len(data) < window:
         return np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),)
     at = _words_at(data)
-    around = repeats.mix(repeats.mix(at[: len(data) - gram + 1]) + at[gram - 8 :])
+    around = np.zeros(len(data) - gram + 1, np.uint64)
+    for k in (*range(0, gram - 8, 8), gram - 8):
+        around = repeats.mix(around + at[k : k + len(around)])
     best = repeats.least_in_runs((around >> np.uint64(32)).astype(np.uint32), window - gram + 1)
     begin, end = repeats.segments(best)
     return around[best[begin]], begin, end
@@ -58,24 +61,24 @@ def _signatures(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("text").mapInPandas(run, "sig long")
 
 
-def _segments(docs: DataFrame, known: repeats.Filter, window: int) -> DataFrame:
+def _segments(docs: DataFrame, known: repeats.Filter, window: int, crowded: bool) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["sig", "hot", "doc", "key", "start", "bytes"]
+        columns = ["sig", "doc", "key", "start", "last", "bytes"]
         for pdf in batches:
             rows = []
             for doc, key, text in zip(pdf["doc"], pdf["key"], pdf["text"]):
                 data = raw(text)
                 sig, begin, end = parse(data, window)
                 shared, hot = known.ask(sig)
-                sig = sig.view(np.int64)
-                for i in np.flatnonzero(shared):
-                    rows.append((sig[i], hot[i], doc, key, begin[i], data[begin[i] : end[i] + window]))
+                own = np.flatnonzero(shared & (hot == crowded))
+                for s, a, b in zip(sig[own].view(np.int64).tolist(), begin[own].tolist(), end[own].tolist()):
+                    rows.append((s, doc, key, a, b, data[a : b + window]))
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
             yield pd.DataFrame(rows, columns=columns)
 
-    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, hot boolean, doc long, key long, start int, bytes binary")
+    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, doc long, key long, start int, last int, bytes binary")
 
 
 def _suffix_order(first: np.ndarray, room: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +138,14 @@ def longest_previous(order: np.ndarray, rank: np.ndarray, position: np.ndarray)
 def _compare(window: int):
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["doc", "key", "start"]).sort_values(["doc", "key", "start"], ignore_index=True)
+        # A later copy of a whole segment is a repeat throughout; where only one kind of segment
+        # has a gram, nothing else can be: the windows of one segment differ.
+        copy = pdf.duplicated(["sig", "bytes"])
+        whole_copies = pdf.loc[copy, ["doc", "key", "start", "last"]]
+        pdf = pdf[~copy]
+        pdf = pdf[pdf.groupby("sig")["start"].transform("size") > 1].reset_index(drop=True)
+        if pdf.empty:
+            return whole_copies
         parts = pdf["bytes"].tolist()
         size = np.array([len(x) for x in parts], np.int64)
         data, row = b"".join(parts), np.repeat(np.arange(len(pdf)), size)
@@ -156,7 +167,8 @@ def _compare(window: int):
         begin = at[cut]
         end = np.append(at[np.flatnonzero(cut)[1:] - 1], at[-1:]) if len(at) else at
         start = pdf["start"].to_numpy()[row] + inside
-        return pd.DataFrame({"doc": pdf["doc"].to_numpy()[row[begin]], "key": pdf["key"].to_numpy()[row[begin]], "start": start[begin], "last": start[end]})
+        found = pd.DataFrame({"doc": pdf["doc"].to_numpy()[row[begin]], "key": pdf["key"].to_numpy()[row[begin]], "start": start[begin], "last": start[end]})
+        return pd.concat([whole_copies, found], ignore_index=True)
 
     return work
 
@@ -181,10 +193,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.H
     rows = repeats.keyed(docs)
     count = _signatures(rows, window).groupBy("sig").agg(F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("n") > 1), hot)
-    found = _segments(rows, known, window)
-    few = by_signature(found.where(~F.col("hot")), _compare(window), RANGES, most=15_000)
-    many = repeats.first_elsewhere(_windows(found.where("hot"), window), F.struct("doc", "key", "start"))
-    return few.unionByName(many)
+    few = by_signature(_segments(rows, known, window, False), _compare(window), RANGES, most=30_000)
+    if not known.hot.any():
+        return few
+    crowded = materialize(_segments(rows, known, window, True), "crowded")
+    order = F.struct("doc", "key", "start")
+    return few.unionByName(repeats.first_elsewhere(crowded, order, "bytes", lambda rows: _windows(rows, window)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
