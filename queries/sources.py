@@ -44,8 +44,7 @@ def stage_daily_parquet(spark, sf):
 def features_sink(spark, sf):
     path = scratch_path(spark, "features")
     files.write_features(c.features(spark, sf), path)
-    back = files.read_features(spark, path)
-    return back.filter(F.col("snapshot_date") >= c.ntz(dt.datetime(2001, 1, 1)))
+    return files.read_features(spark, path)
 
 
 def scan_consent(spark, sf):
@@ -156,9 +155,7 @@ ORACLES = {
     "stage_daily_parquet": c.sql(
         c.TX, select="SELECT customer_id, order_date, order_value, DATE '2001-08-02' AS ds FROM tx"
     ),
-    "features_sink": c.sql(
-        *c.BASE, c.FEATS, select="SELECT * FROM feats WHERE snapshot_date >= TIMESTAMP '2001-01-01'"
-    ),
+    "features_sink": c.sql(*c.BASE, c.FEATS, select="SELECT * FROM feats"),
     "scan_consent": c.sql(c.CONSENT, select="SELECT * FROM consent"),
     "pending_erasures": "SELECT count(*) AS pending FROM customer WHERE c_custkey % 97 = 0 AND c_custkey % 2 = 0",
     "scores_sink": c.sql(

@@ -90,3 +90,23 @@ def test_streamed_files_one_by_one_equal_one_batch(spark, tmp_path):
         views = [ts for _, ts, u, kind, *_ in data if u == user and kind == "view"]
         buys = [ts for _, ts, u, kind, *_ in data if u == user and kind == "purchase"]
         assert latest[user] == (max(views), max(buys))
+
+
+def test_side_by_side_refuses_a_second_row(spark):
+    from tidemark.functions.frames import side_by_side
+
+    one, two = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([("x",), ("y",)], "b string")
+    assert side_by_side(one, two.limit(1)).collect()[0]["a"] == 1
+    with pytest.raises(Exception, match="more than one row"):
+        side_by_side(one, two).collect()
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark.session import scratch_root
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        scratch_root(far)

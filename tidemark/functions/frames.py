@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 
 def side_by_side(*frames: DataFrame) -> DataFrame:
-    """One-row frames with different columns as one row, without a join."""
+    """One-row frames with different columns as one row, without a join; several values of a column are an error."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+    only = [
+        F.when(F.count(c) > 1, F.raise_error(F.lit(f"more than one row has {c}"))).otherwise(F.first(c, ignorenulls=True))
+        for c in stacked.columns
+    ]
+    return stacked.agg(*[value.alias(c) for value, c in zip(only, stacked.columns)])

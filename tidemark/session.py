@@ -42,11 +42,14 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, a laptop) is one local
-    temporary folder made per application.
+    Only where ``spark.checkpoint.dir`` is unset and the master is local (tests, a
+    laptop) is one local temporary folder made per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
         _LOCAL_ROOTS[app] = root
