@@ -9,14 +9,18 @@ Which signatures are shared is worked out by grouping them all; the scan that th
 segments only asks a bitmap of at most MOST_BITS bits whether to emit. A wrong yes costs a
 row, never a result. Signatures with more than ``hot`` occurrences are marked in a second
 bitmap: their windows are grouped one by one with partial aggregation and a join, so that no
-task holds a passage that a large part of all documents have.
+task holds a passage that a large part of all documents have. A text that a smaller document
+has as a whole goes as a whole and is not cut into segments at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,7 @@ from tidemark.session import materialize
 HOT = 2000
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+FACTORS = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,11 +40,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def run_hash(values: np.ndarray, span: int, seed: int = 0) -> np.ndarray:
-    """Hash of each run of ``span`` values."""
-    out = np.full(max(0, len(values) - span + 1), seed, np.uint64)
+    """Hash of each run of ``span`` values: a polynomial of them, its factor chosen by ``seed``."""
+    n = max(0, len(values) - span + 1)
+    out = np.full(n, seed, np.uint64)
     for k in range(span):
-        out = mix(out + values[k : k + len(out)] + _A)
-    return out
+        out *= FACTORS[seed]
+        out += values[k : k + n]
+    return mix(out)
 
 
 def least_in_runs(values: np.ndarray, span: int) -> np.ndarray:
@@ -70,52 +77,117 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 @dataclass
-class Filter:
-    """Two bitmaps over the low bits of signatures."""
+class Bitmap:
+    """A set of 64-bit values, by their low bits: a wrong yes is possible, a wrong no is not."""
 
     bits: int
-    shared: np.ndarray
-    hot: np.ndarray
-
-    def _has(self, bitmap: np.ndarray, sig: np.ndarray) -> np.ndarray:
-        at = (sig & np.uint64(self.bits - 1)).astype(np.int64)
-        return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    places: np.ndarray
 
-    def ask(self, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self._has(self.shared, sig), self._has(self.hot, sig)
+    def has(self, value: np.ndarray) -> np.ndarray:
+        at = (value & np.uint64(self.bits - 1)).astype(np.int64)
+        return (self.places[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(rows: DataFrame, bits: int) -> np.ndarray:
-    at = F.col("sig").bitwiseAND(F.lit(bits - 1).cast("long"))
+def bitmap(rows: DataFrame, value: Column, count: int) -> Bitmap:
+    """``count``: how many values to make room for."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * count - 1).bit_length() if count else 0))
+    at = value.bitwiseAND(F.lit(bits - 1).cast("long"))
     # One row per 32,768 bits comes to the driver.
     made = rows.select(at.alias("at")).select((F.col("at") / 32768).cast("long").alias("bucket"), F.pmod("at", F.lit(32768)).alias("place"))
     made = made.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("map"))
     out = np.zeros(bits // 8, np.uint8)
     for bucket, found in made.collect():
         out[bucket * 4096 : (bucket + 1) * 4096] = np.frombuffer(bytes(found), np.uint8)[: max(0, len(out) - bucket * 4096)]
-    return out
+    return Bitmap(bits, out)
+
+
+#: The start of the last window of a text that goes as a whole.
+TO_THE_END = 1 << 30
+
+
+def copied_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose text no smaller document has, and the ranges (whole texts) of the others.
+
+    Texts are told apart by 96 bits of hash and their length. The first part is chosen by a
+    bitmap of the first documents of all texts, so it may hold a few later copies too.
+    """
+    same = [F.xxhash64("text").alias("h"), F.hash("text").alias("g"), F.length("text").alias("n")]
+    told = rows.select("doc", "key", *same)
+    first = materialize(told.groupBy("h", "g", "n").agg(F.min("doc").alias("first")), "texts")
+    firsts = bitmap(first, F.xxhash64("h", "g", "n", "first"), first.count())
+    later = told.join(first, ["h", "g", "n"]).where(F.col("doc") > F.col("first"))
+    has = F.pandas_udf(lambda value: pd.Series(firsts.has(value.to_numpy().view(np.uint64))), "boolean")
+    return (
+        rows.where(has(F.xxhash64(*same, "doc"))),
+        later.select("doc", "key", F.lit(0).alias("start"), F.lit(TO_THE_END).alias("last")),
+    )
+
+
+@dataclass
+class Filter:
+    """Signatures that are shared, and those that are crowded."""
+
+    shared: Bitmap
+    hot: Bitmap
 
 
 def shared_filter(counted: DataFrame, hot: int = HOT) -> Filter:
     """``counted`` has ``sig`` and ``n`` (occurrences) of every signature that is shared."""
     counted = materialize(counted.select("sig", "n"), "shared")
-    wanted = 16 * counted.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length() if wanted else 0))
-    return Filter(bits, _bitmap(counted, bits), _bitmap(counted.where(F.col("n") > hot), bits))
+    crowded = counted.where(F.col("n") > hot)
+    return Filter(bitmap(counted, F.col("sig"), counted.count()), bitmap(crowded, F.col("sig"), crowded.count()))
+
 
+def segments_of(docs: DataFrame, known: Filter, crowded: bool, read) -> DataFrame:
+    """``sig``, ``doc``, ``key``, ``start``, ``last``, ``body``, ``content`` of every segment that may be shared.
+
+    ``read(text)`` gives signature, first and last window of each segment, and a function from
+    lists of first and last windows to contents. ``body`` is a hash of the content.
+    """
 
-def first_elsewhere(rows: DataFrame, order: Column, content: str, windows) -> DataFrame:
+    def table(pdf: pd.DataFrame, row: list, held: list, content: list) -> pd.DataFrame:
+        row = np.repeat(np.array(row, np.int64), [len(x[0]) for x in held])
+        sig, begin, end = (np.concatenate([x[i] for x in held]) for i in range(3))
+        body = np.array([xxhash.xxh3_64_intdigest(x) for x in content], np.uint64).view(np.int64)
+        return pd.DataFrame({
+            "sig": sig.view(np.int64), "doc": pdf["doc"].to_numpy()[row], "key": pdf["key"].to_numpy()[row],
+            "start": begin.astype(np.int32), "last": end.astype(np.int32), "body": body, "content": content,
+        })
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            row, held, content = [], [], []
+            for i, text in enumerate(pdf["text"]):
+                sig, begin, end, contents = read(text)
+                own = np.flatnonzero(known.shared.has(sig) & (known.hot.has(sig) == crowded))
+                if len(own):
+                    row.append(i)
+                    held.append((sig[own], begin[own], end[own]))
+                    content += contents(begin[own].tolist(), end[own].tolist())
+                if len(content) > 20_000:
+                    yield table(pdf, row, held, content)
+                    row, held, content = [], [], []
+            if content:
+                yield table(pdf, row, held, content)
+
+    schema = "sig long, doc long, key long, start int, last int, body long, content binary"
+    return docs.select("doc", "key", "text").mapInPandas(run, schema)
+
+
+def first_elsewhere(rows: DataFrame, order: Column, windows) -> DataFrame:
     """Ranges of windows after the first of their content, for segments of crowded signatures.
 
-    ``rows`` are written segments with ``content``, and ``last``, the start of the last window.
-    Equal segments are settled as a whole; only the first of each kind is cut into windows
+    ``rows`` are written segments. Equal ones are settled as a whole: a segment that is not in
+    the bitmap of the first of each kind is a later copy. Only the others are cut into windows
     (``windows(rows)``: ``h``, ``c``, ``doc``, ``key``, ``start``), which are grouped and joined.
     """
-    rows = rows.withColumn("body", F.xxhash64(content)).withColumn("order", order)
-    first = rows.groupBy("sig", "body").agg(F.min("order").alias("first"))
-    rows = rows.join(first, ["sig", "body"])
-    whole = rows.where(F.col("order") > F.col("first")).select("doc", "key", "start", "last")
-    single = windows(rows.where(F.col("order") == F.col("first"))).withColumn("order", order)
+    rows = rows.withColumn("order", order)
+    first = materialize(rows.groupBy("sig", "body").agg(F.min("order").alias("order")), "kinds")
+    kinds = bitmap(first, F.xxhash64("sig", "body", "order"), first.count())
+    has = F.pandas_udf(lambda value: pd.Series(kinds.has(value.to_numpy().view(np.uint64))), "boolean")
+    may_be_first = has(F.xxhash64("sig", "body", "order"))
+    whole = rows.where(~may_be_first).select("doc", "key", "start", "last")
+    single = windows(rows.where(may_be_first)).withColumn("order", order)
     first = single.groupBy("h", "c").agg(F.min("order").alias("first"))
     later = single.join(first, ["h", "c"]).where(F.col("order") > F.col("first"))
     return whole.unionByName(later.select("doc", "key", "start", F.col("start").alias("last")))
@@ -129,7 +201,7 @@ def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
 
 def covered(n: int, span: int, starts: np.ndarray | None, lasts: np.ndarray | None) -> np.ndarray:
     """Which of ``n`` units lie in a window that begins in one of the ranges."""
-    if starts is None or not len(starts):
+    if starts is None or not len(starts) or n < span:
         return np.zeros(n, bool)
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, np.asarray(starts), 1)

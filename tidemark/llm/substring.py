@@ -88,27 +88,18 @@ def _signatures(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("doc", "text").mapInPandas(run, "sig long, doc long")
 
 
-def _segments(docs: DataFrame, known: repeats.Filter, window: int, crowded: bool) -> DataFrame:
-    """``sig``, ``doc``, ``key``, ``start``, ``records`` (of its windows) of every segment that may be shared."""
+def _read(window: int):
+    def read(text: str):
+        name = names(split(text))
+        sig, begin, end = parse(name, window)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for doc, key, text in zip(pdf["doc"], pdf["key"], pdf["text"]):
-                name = names(split(text))
-                sig, begin, end = parse(name, window)
-                shared, hot = known.ask(sig)
-                own = np.flatnonzero(shared & (hot == crowded))
-                if len(own):
-                    raw, size = _window_records(name, window).tobytes(), _RECORD.itemsize
-                    for s, a, b in zip(sig[own].view(np.int64).tolist(), begin[own].tolist(), end[own].tolist()):
-                        rows.append((s, doc, key, a, b, raw[a * size : (b + 1) * size]))
-                if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=["sig", "doc", "key", "start", "last", "records"])
-                    rows = []
-            yield pd.DataFrame(rows, columns=["sig", "doc", "key", "start", "last", "records"])
-
-    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, doc long, key long, start int, last int, records binary")
+        def contents(first: list[int], last: list[int]) -> list[bytes]:
+            raw, size = _window_records(name, window).tobytes(), _RECORD.itemsize
+            return [raw[a * size : (b + 1) * size] for a, b in zip(first, last)]
+
+        return sig, begin, end, contents
+
+    return read
 
 
 def _ranges(doc: np.ndarray, key: np.ndarray, start: np.ndarray, later: np.ndarray, row: np.ndarray) -> pd.DataFrame:
@@ -124,13 +115,13 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     """Ranges of windows whose content also starts in a smaller document of this table."""
     if pdf.empty:
         return pd.DataFrame(columns=["doc", "key", "start", "last"], dtype="int64")
-    least = pdf.groupby(["sig", "records"], sort=False)["doc"].transform("min")
+    least = pdf.groupby(["sig", "body"], sort=False)["doc"].transform("min")
     whole = pdf.loc[pdf["doc"] > least, ["doc", "key", "start", "last"]]  # all of it stands in that document
     pdf = pdf[pdf["doc"] == least]
     pdf = pdf[pdf.groupby("sig")["doc"].transform("nunique") > 1].reset_index(drop=True)
     if pdf.empty:
         return whole
-    raw = pdf["records"].tolist()
+    raw = pdf["content"].tolist()
     size = np.array([len(x) // _RECORD.itemsize for x in raw])
     record, row = np.frombuffer(b"".join(raw), _RECORD), np.repeat(np.arange(len(pdf)), size)
     doc, key = pdf["doc"].to_numpy(), pdf["key"].to_numpy()
@@ -143,8 +134,11 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([whole, _ranges(doc, key, start, later, row)], ignore_index=True)
 
 
-def by_signature(rows: DataFrame, work, schema: str, most: int = 60_000) -> DataFrame:
-    """``work`` over tables of whole signatures, at least ``most`` rows at a time where there are so many."""
+def by_signature(rows: DataFrame, work, schema: str, *then: str, most: int = 60_000) -> DataFrame:
+    """``work`` over tables of whole signatures, at least ``most`` rows at a time where there are so many.
+
+    Rows of a signature come in the order of the columns ``then``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -162,7 +156,7 @@ def by_signature(rows: DataFrame, work, schema: str, most: int = 60_000) -> Data
         if n:
             yield work(pd.concat(held, ignore_index=True))
 
-    return rows.repartition("sig").sortWithinPartitions("sig").mapInPandas(run, schema)
+    return rows.repartition("sig").sortWithinPartitions("sig", *then).mapInPandas(run, schema)
 
 
 RANGES = "doc long, key long, start int, last int"
@@ -171,25 +165,25 @@ RANGES = "doc long, key long, start int, last int"
 def _unpacked(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            raw = pdf["records"].tolist()
+            raw = pdf["content"].tolist()
             size = np.array([len(x) // _RECORD.itemsize for x in raw], np.int64)
             record, row = np.frombuffer(b"".join(raw), _RECORD), np.repeat(np.arange(len(pdf)), size)
             start = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + pdf["start"].to_numpy()[row]
             yield pd.DataFrame({"h": record["h"].astype(np.uint64).view(np.int64), "c": record["c"].astype(np.int64), "doc": pdf["doc"].to_numpy()[row], "key": pdf["key"].to_numpy()[row], "start": start})
 
-    return rows.select("doc", "key", "start", "records").mapInPandas(run, "h long, c long, doc long, key long, start int")
+    return rows.select("doc", "key", "start", "content").mapInPandas(run, "h long, c long, doc long, key long, start int")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
     """``doc``, ``key``, ``start``, ``last``: ranges of windows that also start in a smaller document."""
-    rows = repeats.keyed(docs)
+    rows, copies = repeats.copied_texts(repeats.keyed(docs))
     count = _signatures(rows, window).groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("a") != F.col("b")), hot)
-    few = by_signature(_segments(rows, known, window, False), _compare, RANGES)
-    if not known.hot.any():
-        return few
-    crowded = materialize(_segments(rows, known, window, True), "crowded")
-    return few.unionByName(repeats.first_elsewhere(crowded, F.col("doc"), "records", _unpacked))
+    found = copies.unionByName(by_signature(repeats.segments_of(rows, known, False, _read(window)), _compare, RANGES))
+    if not known.hot.places.any():
+        return found
+    crowded = materialize(repeats.segments_of(rows, known, True, _read(window)), "crowded")
+    return found.unionByName(repeats.first_elsewhere(crowded, F.col("doc"), _unpacked))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:

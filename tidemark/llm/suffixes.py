@@ -44,9 +44,14 @@ def parse(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarr
     if len(data) < window:
         return np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),)
     at = _words_at(data)
-    around = np.zeros(len(data) - gram + 1, np.uint64)
-    for k in (*range(0, gram - 8, 8), gram - 8):
-        around = repeats.mix(around + at[k : k + len(around)])
+    # Hashes of 8, 16, 32, ... bytes, each from two of half the length; the last two overlap.
+    around, span = at * repeats.FACTORS[0], 8
+    around ^= around >> np.uint64(32)
+    while span < gram:
+        step = min(span, gram - span)
+        around = around[:-step] * repeats.FACTORS[0] + around[step:]
+        span += step
+    around = repeats.mix(around)
     best = repeats.least_in_runs((around >> np.uint64(32)).astype(np.uint32), window - gram + 1)
     begin, end = repeats.segments(best)
     return around[best[begin]], begin, end
@@ -61,24 +66,12 @@ def _signatures(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("text").mapInPandas(run, "sig long")
 
 
-def _segments(docs: DataFrame, known: repeats.Filter, window: int, crowded: bool) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["sig", "doc", "key", "start", "last", "bytes"]
-        for pdf in batches:
-            rows = []
-            for doc, key, text in zip(pdf["doc"], pdf["key"], pdf["text"]):
-                data = raw(text)
-                sig, begin, end = parse(data, window)
-                shared, hot = known.ask(sig)
-                own = np.flatnonzero(shared & (hot == crowded))
-                for s, a, b in zip(sig[own].view(np.int64).tolist(), begin[own].tolist(), end[own].tolist()):
-                    rows.append((s, doc, key, a, b, data[a : b + window]))
-                if len(rows) > 20_000:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            yield pd.DataFrame(rows, columns=columns)
+def _read(window: int):
+    def read(text: str):
+        data = raw(text)
+        return *parse(data, window), lambda first, last: [data[a : b + window] for a, b in zip(first, last)]
 
-    return docs.select("doc", "key", "text").mapInPandas(run, "sig long, doc long, key long, start int, last int, bytes binary")
+    return read
 
 
 def _suffix_order(first: np.ndarray, room: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,20 +80,23 @@ def _suffix_order(first: np.ndarray, room: np.ndarray, window: int) -> tuple[np.
     ``first``: the first eight bytes as a number, zero beyond the end; ``room``: bytes left.
     """
     n = len(first)
-    order = np.lexsort((np.minimum(room, 8), first))
-    step = 8
-    low = np.minimum(room, 8)
-    new = np.concatenate(([True], (first[order][1:] != first[order][:-1]) | (low[order][1:] != low[order][:-1])))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new)
+
+    def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(key)
+        own = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate(([True], own[1:] != own[:-1])))
+        return order, rank
+
+    # Seven bytes, and how many of them there are, in one number.
+    step = 7
+    order, rank = ranked(first >> np.uint64(8) << np.uint64(8) | np.minimum(room, step).astype(np.uint64))
     while step < window:
         jump = min(step, window - step)  # the next part ends where the window does
         ahead = np.zeros(n, np.int64)
         own = np.flatnonzero(room > jump)
         ahead[own] = rank[own + jump]
-        both = rank * (n + 1) + ahead
-        order = np.argsort(both, kind="stable")
-        rank[order] = np.cumsum(np.concatenate(([True], both[order][1:] != both[order][:-1])))
+        order, rank = ranked(rank * (n + 1) + ahead)
         step += jump
     return order, rank
 
@@ -137,16 +133,20 @@ def longest_previous(order: np.ndarray, rank: np.ndarray, position: np.ndarray)
 
 def _compare(window: int):
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["doc", "key", "start"]).sort_values(["doc", "key", "start"], ignore_index=True)
+        # Rows come by signature, document, key and start. A repeated row adds nothing.
+        place = pdf[["sig", "doc", "key", "start"]].to_numpy()
+        pdf = pdf[np.concatenate(([True], (place[1:] != place[:-1]).any(axis=1)))]
         # A later copy of a whole segment is a repeat throughout; where only one kind of segment
         # has a gram, nothing else can be: the windows of one segment differ.
-        copy = pdf.duplicated(["sig", "bytes"])
+        copy = pdf.duplicated(["sig", "body"])
         whole_copies = pdf.loc[copy, ["doc", "key", "start", "last"]]
         pdf = pdf[~copy]
-        pdf = pdf[pdf.groupby("sig")["start"].transform("size") > 1].reset_index(drop=True)
+        sig = pdf["sig"].to_numpy()
+        meet = sig[1:] == sig[:-1]
+        pdf = pdf[np.concatenate(([False], meet)) | np.concatenate((meet, [False]))].reset_index(drop=True)
         if pdf.empty:
             return whole_copies
-        parts = pdf["bytes"].tolist()
+        parts = pdf["content"].tolist()
         size = np.array([len(x) for x in parts], np.int64)
         data, row = b"".join(parts), np.repeat(np.arange(len(pdf)), size)
         inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
@@ -178,27 +178,28 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
         for pdf in batches:
             for low in range(0, len(pdf), 2000):
                 part, out = pdf.iloc[low : low + 2000], []
-                for data, start in zip(part["bytes"], part["start"]):
+                for data, start in zip(part["content"], part["start"]):
                     value = np.frombuffer(data, np.uint8).astype(np.uint64)
                     out.append((repeats.run_hash(value, window, 1), repeats.run_hash(value, window, 2), start + np.arange(len(value) - window + 1)))
                 row = np.repeat(np.arange(len(part)), [len(x[0]) for x in out])
                 h, c, start = (np.concatenate([x[i] for x in out]) for i in range(3))
                 yield pd.DataFrame({"h": h.view(np.int64), "c": c.view(np.int64), "doc": part["doc"].to_numpy()[row], "key": part["key"].to_numpy()[row], "start": start})
 
-    return rows.select("doc", "key", "start", "bytes").mapInPandas(run, "h long, c long, doc long, key long, start int")
+    return rows.select("doc", "key", "start", "content").mapInPandas(run, "h long, c long, doc long, key long, start int")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
     """``doc``, ``key``, ``start``, ``last``: ranges of windows whose bytes also start earlier."""
-    rows = repeats.keyed(docs)
+    rows, copies = repeats.copied_texts(repeats.keyed(docs))
     count = _signatures(rows, window).groupBy("sig").agg(F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("n") > 1), hot)
-    few = by_signature(_segments(rows, known, window, False), _compare(window), RANGES, most=30_000)
-    if not known.hot.any():
-        return few
-    crowded = materialize(_segments(rows, known, window, True), "crowded")
+    segments = repeats.segments_of(rows, known, False, _read(window))
+    found = copies.unionByName(by_signature(segments, _compare(window), RANGES, "doc", "key", "start", most=30_000))
+    if not known.hot.places.any():
+        return found
+    crowded = materialize(repeats.segments_of(rows, known, True, _read(window)), "crowded")
     order = F.struct("doc", "key", "start")
-    return few.unionByName(repeats.first_elsewhere(crowded, order, "bytes", lambda rows: _windows(rows, window)))
+    return found.unionByName(repeats.first_elsewhere(crowded, order, lambda rows: _windows(rows, window)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
