@@ -138,21 +138,39 @@ def shared_filter(counted: DataFrame, hot: int = HOT) -> Filter:
     return Filter(bitmap(counted, F.col("sig"), counted.count()), bitmap(crowded, F.col("sig"), crowded.count()))
 
 
-def segments_of(docs: DataFrame, known: Filter, crowded: bool, read) -> DataFrame:
+def _combined(rows: pd.DataFrame, order: list[str]) -> pd.DataFrame:
+    """Map-side combine: rows after the first of their kind here become plain ranges, neighbours joined.
+
+    ``rows`` are in the order of the texts; a range has no content.
+    """
+    ranked = rows.sort_values(order, kind="stable")
+    first = ranked.drop_duplicates(["sig", "body"]).set_index(["sig", "body"])[order]
+    least = first.loc[pd.MultiIndex.from_frame(rows[["sig", "body"]])].to_numpy()
+    later = (rows[order].to_numpy() != least).any(axis=1)
+    gone = rows[later]
+    doc, key, start, last = (gone[c].to_numpy() for c in ("doc", "key", "start", "last"))
+    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] != last[:-1] + 1)))[: len(gone)]
+    ranges = gone[new].assign(last=last[np.append(new[1:], True)] if len(gone) else last, content=None)
+    return pd.concat([rows[~later], ranges], ignore_index=True)
+
+
+def segments_of(docs: DataFrame, known: Filter, crowded: bool, read, order: list[str] | None = None) -> DataFrame:
     """``sig``, ``doc``, ``key``, ``start``, ``last``, ``body``, ``content`` of every segment that may be shared.
 
     ``read(text)`` gives signature, first and last window of each segment, and a function from
-    lists of first and last windows to contents. ``body`` is a hash of the content.
+    lists of first and last windows to contents. ``body`` is a hash of the content. With ``order``
+    segments that come later than an equal one of the same batch are ranges: without content.
     """
 
     def table(pdf: pd.DataFrame, row: list, held: list, content: list) -> pd.DataFrame:
         row = np.repeat(np.array(row, np.int64), [len(x[0]) for x in held])
         sig, begin, end = (np.concatenate([x[i] for x in held]) for i in range(3))
         body = np.array([xxhash.xxh3_64_intdigest(x) for x in content], np.uint64).view(np.int64)
-        return pd.DataFrame({
+        out = pd.DataFrame({
             "sig": sig.view(np.int64), "doc": pdf["doc"].to_numpy()[row], "key": pdf["key"].to_numpy()[row],
             "start": begin.astype(np.int32), "last": end.astype(np.int32), "body": body, "content": content,
         })
+        return _combined(out, order) if order else out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -174,14 +192,16 @@ def segments_of(docs: DataFrame, known: Filter, crowded: bool, read) -> DataFram
     return docs.select("doc", "key", "text").mapInPandas(run, schema)
 
 
-def first_elsewhere(rows: DataFrame, order: Column, windows) -> DataFrame:
+def first_elsewhere(rows: DataFrame, by: list[str], windows) -> DataFrame:
     """Ranges of windows after the first of their content, for segments of crowded signatures.
 
-    ``rows`` are written segments. Equal ones are settled as a whole: a segment that is not in
+    ``rows`` are written segments and ranges (without content) in the order ``by``. Equal segments are settled as a whole: a segment that is not in
     the bitmap of the first of each kind is a later copy. Only the others are cut into windows
     (``windows(rows)``: ``h``, ``c``, ``doc``, ``key``, ``start``), which are grouped and joined.
     """
-    rows = rows.withColumn("order", order)
+    order = F.struct(*by)
+    combined = rows.where(F.col("content").isNull()).select("doc", "key", "start", "last")
+    rows = rows.where(F.col("content").isNotNull()).withColumn("order", order)
     first = materialize(rows.groupBy("sig", "body").agg(F.min("order").alias("order")), "kinds")
     kinds = bitmap(first, F.xxhash64("sig", "body", "order"), first.count())
     has = F.pandas_udf(lambda value: pd.Series(kinds.has(value.to_numpy().view(np.uint64))), "boolean")
@@ -190,7 +210,7 @@ def first_elsewhere(rows: DataFrame, order: Column, windows) -> DataFrame:
     single = windows(rows.where(may_be_first)).withColumn("order", order)
     first = single.groupBy("h", "c").agg(F.min("order").alias("first"))
     later = single.join(first, ["h", "c"]).where(F.col("order") > F.col("first"))
-    return whole.unionByName(later.select("doc", "key", "start", F.col("start").alias("last")))
+    return combined.unionByName(whole).unionByName(later.select("doc", "key", "start", F.col("start").alias("last")))
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -182,8 +182,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.H
     found = copies.unionByName(by_signature(repeats.segments_of(rows, known, False, _read(window)), _compare, RANGES))
     if not known.hot.places.any():
         return found
-    crowded = materialize(repeats.segments_of(rows, known, True, _read(window)), "crowded")
-    return found.unionByName(repeats.first_elsewhere(crowded, F.col("doc"), _unpacked))
+    crowded = materialize(repeats.segments_of(rows, known, True, _read(window), ["doc"]), "crowded")
+    return found.unionByName(repeats.first_elsewhere(crowded, ["doc"], _unpacked))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:

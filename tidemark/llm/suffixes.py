@@ -197,8 +197,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.H
     found = copies.unionByName(by_signature(segments, _compare(window), RANGES, "doc", "key", "start", most=30_000))
     if not known.hot.places.any():
         return found
-    crowded = materialize(repeats.segments_of(rows, known, True, _read(window)), "crowded")
-    order = F.struct("doc", "key", "start")
+    order = ["doc", "key", "start"]
+    crowded = materialize(repeats.segments_of(rows, known, True, _read(window), order), "crowded")
     return found.unionByName(repeats.first_elsewhere(crowded, order, lambda rows: _windows(rows, window)))
 
 
