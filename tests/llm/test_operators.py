@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from queries.common import star
 from tests.oracle import compare, connect
-from tidemark.llm import decontam, langid, packing, parsing, queries, secrets, sharding, simhash, substring, suffixes, wordpiece
+from tidemark.llm import decontam, langid, likeness, packing, parsing, queries, secrets, sharding, simhash, substring, suffixes, wordpiece
 from tidemark.llm.graph import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start int, fp string, shard string, bucket int"
@@ -95,6 +95,62 @@ def test_anchors_meet_every_pair_within_the_threshold():
             home = x ^ int(flips[syndrome[x & 0x7FFF]][0])
             assert all(home in near(x ^ (1 << b)) for b in range(width)) and home in near(x)
 
+def shingles(text):
+    words = split("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_likeness_against_all_pairs(which, request):
+    """Similar texts share a group, and each member of a group has a similar text in it."""
+    df = request.getfixturevalue(which)
+    found = {r["doc_id"]: r["component_id"] for r in likeness.near_copies(df).collect()}
+    sets = {d: shingles(t) for d, t in pairs(df) if d is not None}
+    assert found.keys() == sets.keys()
+    likest, close, met = dict.fromkeys(sets, 0.0), 0, 0
+    for a in sets:
+        for b in sets:
+            if a < b:
+                both = len(sets[a] & sets[b])
+                j = both / (len(sets[a]) + len(sets[b]) - both) if sets[a] or sets[b] else 1.0
+                if j >= 0.9:
+                    assert found[a] == found[b]
+                elif j >= 0.8:
+                    close, met = close + 1, met + (found[a] == found[b])
+                likest[a], likest[b] = max(likest[a], j), max(likest[b], j)
+    assert met >= 0.8 * close
+    sizes = {c: sum(x == c for x in found.values()) for c in found.values()}
+    assert all(likest[d] >= 0.5 for d, c in found.items() if sizes[c] > 1)
+    assert all(c <= d and found[c] == c for d, c in found.items())
+    kept = likeness.keep_first(df).collect()
+    assert len(kept) == sum(d is None or found[d] == d for d, _ in pairs(df))
+
+
+def test_likeness_finds_edited_copies_in_tiles_and_large_groups(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    bases = [[word() for _ in range(300)] for _ in range(4)]
+    rows = []
+    for i in range(80):
+        words = list(bases[i % 4])
+        for _ in range(3):
+            words[r.randrange(300)] = word()
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile_rows in (4096, 3):
+        found = {x["doc_id"]: x["component_id"] for x in likeness.near_copies(df, tile_rows=tile_rows).collect()}
+        assert found == {i: i % 4 for i in range(80)}
+    parts = np.array([likeness.fingerprint(t) for _, t in rows])
+    most = likeness.allowed_bits(0.8, 6)
+    label = np.arange(80)
+    likeness._grow(label, parts, np.arange(80), most)
+    assert label.tolist() == [i % 4 for i in range(80)]
+
+
+def test_likeness_of_nothing(none):
+    assert likeness.near_copies(none).collect() == [] and likeness.keep_first(none).columns == none.columns
+
+
 
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(5, 5), (None, 3)]
@@ -336,7 +392,7 @@ def test_pipeline_stages(spark, sf, docs):
 
     found = corpus_pipeline.run(spark, sf).collect()
     kept = {r["doc_id"] for r in found}
-    near = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    near = {r["doc_id"]: r["component_id"] for r in likeness.near_copies(docs).collect()}
     assert kept and all(near[d] == d for d in kept)
     bad = {r["doc_id"] for r in decontam.contamination(docs, star.table(spark, sf, "benchmark")).where("contaminated").collect()}
     assert not bad & kept and kept == {d for d in near if near[d] == d} - bad

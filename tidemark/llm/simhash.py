@@ -215,13 +215,3 @@ def near_duplicates(docs: DataFrame, threshold: int = 4, shingle: int = 4, bands
     component = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("fp", "root").join(component, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its class.
-
-    Rows without a doc_id stay; rows of one doc_id count as one document.
-    """
-    found = near_duplicates(docs, **options)
-    later = found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
