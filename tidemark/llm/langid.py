@@ -52,7 +52,7 @@ def counts(text: str | None) -> np.ndarray:
 
 
 def vectors(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
-    out = np.stack([np.log1p(counts(t)) for t in texts]).astype(np.float32) * idf
+    out = np.stack([np.log1p(counts(t)).astype(np.float32) for t in texts]) * idf
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
@@ -81,8 +81,8 @@ class CentroidModel:
         best = np.zeros(len(texts))
         names = np.full(len(texts), UNKNOWN, object)
         own = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
-        for low in range(0, len(own) if self.languages else 0, 256):
-            rows = own[low : low + 256]
+        for low in range(0, len(own) if self.languages else 0, 64):
+            rows = own[low : low + 64]
             cosine = vectors([texts[i] for i in rows], self.idf) @ self.centroids.T
             best[rows] = np.clip(cosine.max(axis=1), 0, 1)
             names[rows] = np.array(self.languages, object)[cosine.argmax(axis=1)]

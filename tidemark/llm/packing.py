@@ -103,8 +103,12 @@ class WordTokenizer:
         return [b"".join(known) for known in found]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``: each text's ids and the end id, cut at ``capacity``."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_words: bool = True) -> DataFrame:
+    """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``: each text's ids and the end id, cut at ``capacity``.
+
+    Without ``keep_words`` a worker forgets tokenizer and words after each task, for jobs in
+    which other steps need its memory.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordTokenizer.load(tokenizer)
@@ -117,6 +121,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     out += [(doc_id, i, at // 4, len(ids[at : at + step]) // 4, zlib.crc32(ids[at : at + step])) for i, at in enumerate(range(0, len(ids), step))]
                 frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
                 yield frame.astype({"doc_id": "object"}) if frame["doc_id"].isna().any() else frame
+        if not keep_words:
+            WordTokenizer._loaded.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long").withColumn("doc_id", F.col("doc_id").cast(kind))
@@ -226,6 +232,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = 4096) -
     return rest.unionByName(whole)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_items: int = 4096) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_items: int = 4096, keep_words: bool = True) -> DataFrame:
     """Pieces of every row of ``docs`` and their places; a null text is an empty one, the end id alone."""
-    return pack(materialize(pieces(docs, tokenizer, capacity), "pieces"), capacity, group_items)
+    return pack(materialize(pieces(docs, tokenizer, capacity, keep_words), "pieces"), capacity, group_items)
