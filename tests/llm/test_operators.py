@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -147,6 +148,37 @@ def test_likeness_finds_edited_copies_in_tiles_and_large_groups(spark):
     assert label.tolist() == [i % 4 for i in range(80)]
 
 
+def test_likeness_is_exact(spark):
+    """Groups are the components of the pairs with a Jaccard similarity of 0.8 or more, no more and no fewer."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    shared, texts = [word() for _ in range(40)], []
+    for n in (12, 30, 90, 200, 400):
+        for _ in range(4):
+            base = [word() for _ in range(n)] + shared
+            for _ in range(12):
+                words = list(base)
+                for _ in range(r.randint(0, max(1, len(base) // 25))):
+                    words[r.randrange(len(words))] = word()
+                texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(rows)))
+    border = 0
+    for b in range(len(rows)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            j = Fraction(both, len(sets[a]) + len(sets[b]) - both)
+            border += Fraction(7, 10) <= j < Fraction(9, 10)
+            if j >= Fraction(4, 5) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    assert border > 300
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {x["doc_id"]: x["component_id"] for x in likeness.near_copies(df, tile_rows=50).collect()}
+    assert found == dict(enumerate(label))
+
+
 def test_likeness_of_nothing(none):
     assert likeness.near_copies(none).collect() == [] and likeness.keep_first(none).columns == none.columns
 
