@@ -27,11 +27,11 @@ def stream_score(spark, sf):
 
 
 def stream_daily_activity(spark, sf):
-    return jobs.run_available(jobs.daily_activity(jobs.event_stream(spark, sf)), "stream-daily")
+    return jobs.replay_available(jobs.event_stream(spark, sf), jobs.daily_activity, "stream-daily")
 
 
 def stream_sliding_activity(spark, sf):
-    return jobs.run_available(jobs.sliding_activity(jobs.event_stream(spark, sf)), "stream-sliding")
+    return jobs.replay_available(jobs.event_stream(spark, sf), jobs.sliding_activity, "stream-sliding")
 
 
 def stream_label_maturity(spark, sf):

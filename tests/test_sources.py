@@ -13,6 +13,7 @@ from tidemark.operators.features import snapshot_dataset
 from tidemark.schemas import TRANSACTIONS
 from tidemark.session import materialize, scratch_root
 from tidemark.sources import files
+from tidemark.sources import star
 from tidemark.streaming import jobs
 
 
@@ -56,6 +57,17 @@ def test_the_clusters_scratch_folder_is_used(spark):
     assert df.count() == 5 and scratch_root(spark) in df.inputFiles()[0]
 
 
+def test_replayed_activity_counts_every_event(spark, sf):
+    """Windows still open at the end of the table are emitted too."""
+    from queries import streams
+
+    events = star.table(spark, sf, "events")
+    n, days = events.agg(F.count("*"), F.count_distinct(F.to_date("ts"))).first()
+    daily = streams.stream_daily_activity(spark, sf)
+    assert tuple(daily.agg(F.sum("events"), F.count_distinct("day")).first()) == (n, days)
+    assert streams.stream_sliding_activity(spark, sf).agg(F.sum("events")).first()[0] == 7 * n
+
+
 def test_streamed_files_one_by_one_equal_one_batch(spark, tmp_path):
     """Events split by time over files, one file per micro-batch: closed days agree with the batch."""
     schema = jobs.EVENTS

@@ -7,7 +7,8 @@ checkpoint in the shared folder, so a job killed at any point resumes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from tidemark.schemas import EVENTS, MODEL_FEATURES
 from tidemark.session import scratch_path
 
 DAY = "1 day"
+#: Event time of the row that ends a replay; its own window never closes.
+END = dt.datetime(9000, 1, 1)
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
@@ -48,6 +51,22 @@ def run_available(
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def replay_available(events: DataFrame, job: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``job`` over everything available, windows still open at the end included.
+
+    The job runs twice on one checkpoint: over the events, then over a single row far ahead of
+    them, which moves the watermark past every window. Events that come later would be late.
+    """
+    spark = events.sparkSession
+    ends, path, checkpoint = (scratch_path(spark, f"{label}{x}") for x in ("-end", "", "-checkpoint"))
+    spark.createDataFrame([], events.schema).write.parquet(ends)
+    stream = job(events.unionByName(spark.readStream.schema(events.schema).parquet(ends)))
+    run_available(stream, label, path, checkpoint)
+    last = [tuple(END if f.name == "ts" else None for f in events.schema)]
+    spark.createDataFrame(last, events.schema).write.mode("append").parquet(ends)
+    return run_available(stream, label, path, checkpoint)
+
+
 # -------------------------------------------------------------------- scoring
 
 
