@@ -16,21 +16,18 @@ from tidemark.schemas import MODEL_FEATURES
 from tidemark.session import materialize
 from tidemark.sources import star
 
-#: A short ensemble: the query shows the plan, quality runs take the defaults.
-SHORT = training.TrainingConfig(trees=8, max_depth=4, learning_rate=0.3)
-
 
 def train_model(spark, sf):
     """Quality per split of a tree ensemble with early stopping and a tuned threshold."""
-    return training.train_model(c.features(spark, sf), SHORT, dates=c.dates(spark, sf)).metrics
+    return training.train_model(c.features(spark, sf), dates=c.dates(spark, sf)).metrics
 
 
 def train_legacy(spark, sf):
-    return training.train_legacy(c.features(spark, sf), SHORT, dates=c.dates(spark, sf)).metrics
+    return training.train_legacy(c.features(spark, sf), dates=c.dates(spark, sf)).metrics
 
 
 def feature_importance(spark, sf):
-    return training.train_model(c.features(spark, sf), SHORT, tune=False, dates=c.dates(spark, sf)).importance
+    return training.train_model(c.features(spark, sf), tune=False, dates=c.dates(spark, sf)).importance
 
 
 def score_batch(spark, sf):

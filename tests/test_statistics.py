@@ -236,3 +236,25 @@ def test_ordered_split(spark):
     df = spark.createDataFrame([(f"c{i:02d}",) for i in range(11)], "customer_id string")
     out = splits.ordered_split(df).groupBy("split").count()
     assert dict(rows(out)) == {"train": 8, "test": 3}
+
+
+def test_training_queries_use_the_default_ensemble(monkeypatch, spark, sf):
+    from queries import models
+    from tidemark.plans import training
+
+    seen = []
+    monkeypatch.setattr(models.c, "features", lambda *a: None)
+    monkeypatch.setattr(models.c, "dates", lambda *a: None)
+    for name in ("train_model", "train_legacy"):
+        monkeypatch.setattr(training, name, lambda f, cfg=training.TrainingConfig(), **more: seen.append(cfg) or training.Training(*[None] * 7))
+    for query in (models.train_model, models.train_legacy, models.feature_importance):
+        query(spark, sf)
+    assert seen == [training.TrainingConfig()] * 3 and seen[0].trees == 200
+
+
+def test_early_stop_waits_for_later_gains():
+    from tidemark.plans.training import best_iteration
+
+    assert best_iteration([0.9, 0.91, 0.89, 0.9, 0.95], 30) == 3
+    assert best_iteration([0.9, 0.91, 0.92, 0.1], 2) == 1
+    assert best_iteration([0.9, 0.8, 0.7], 1) == 3
