@@ -390,6 +390,17 @@ def test_network_learns_and_keeps_base(spark, odd, none):
     assert secrets.scan(none, None).count() == 0
 
 
+def test_every_long_run_is_a_candidate_and_mixed_ones_are_redacted_whole(spark):
+    mixed, letters = "Zq9-0123456789abcdef-Xw", "QwErTyUiOpAsDfGh"
+    text = f"see {letters} or {mixed} and 0123456789abcdef, password=abcdefghijkl"
+    spans = secrets.candidates(text, secrets.base_findings(text))
+    assert [text[a:b] for a, b in spans] == [letters, mixed]
+    model = secrets.CharCnn.fresh(1)
+    model.threshold = 0.0  # takes every candidate
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert secrets.redact(df, model).first()["text"] == "see [SECRET] or [SECRET] and [SECRET], [SECRET]"
+
+
 @pytest.mark.parametrize("limit", [200_000, 0])
 def test_decontamination(limit, spark, odd, none):
     items = [(1, "To to TO"), (2, None), (3, " .. "), (3, "12 7"), (5, "中文"), (6, pairs(odd)[3][1]), (7, pairs(odd)[3][1][:40]), (8, "mixed zzz")]
