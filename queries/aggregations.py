@@ -168,19 +168,19 @@ def prediction_drift(spark, sf):
 
 
 def churn_by_recency(spark, sf):
-    return insights.churn_by_recency(c.features(spark, sf))
+    return insights.churn_by_recency(c.features(spark, sf, "latest"))
 
 
 def churn_by_frequency(spark, sf):
-    return insights.churn_by_frequency(c.features(spark, sf))
+    return insights.churn_by_frequency(c.features(spark, sf, "latest"))
 
 
 def recency_histogram(spark, sf):
-    return insights.recency_histogram(c.features(spark, sf))
+    return insights.recency_histogram(c.features(spark, sf, "latest"))
 
 
 def risk_segment_counts(spark, sf):
-    return insights.risk_segment_counts(c.features(spark, sf))
+    return insights.risk_segment_counts(c.features(spark, sf, "latest"))
 
 
 def segment_profile(spark, sf):
@@ -197,16 +197,15 @@ def overview_kpis(spark, sf):
 
 
 def feature_correlation(spark, sf):
-    return insights.feature_correlation(c.features(spark, sf), MODEL_FEATURES)
+    return insights.feature_correlation(c.features(spark, sf, "latest"), MODEL_FEATURES)
 
 
 def category_importance(spark, sf):
-    return insights.category_importance(insights.feature_correlation(c.features(spark, sf), MODEL_FEATURES))
+    return insights.category_importance(insights.feature_correlation(c.features(spark, sf, "latest"), MODEL_FEATURES))
 
 
 def describe_features(spark, sf):
-    table = materialize(c.features(spark, sf).select(*MODEL_FEATURES), "describe")
-    return insights.describe_features(table, MODEL_FEATURES)
+    return insights.describe_features(c.features(spark, sf), MODEL_FEATURES)
 
 
 def scale_pos_weight(spark, sf):
@@ -309,15 +308,24 @@ psi AS (SELECT s.*, CASE WHEN rows_ref = 0 OR rows_cur = 0 THEN NULL
                 WHEN coalesce(n, 0) < 3 THEN CASE WHEN abs(mean_ref - mean_cur) <= 1e-8::DOUBLE + 1e-5::DOUBLE * abs(mean_cur) THEN 0.0 ELSE 1.0 END
                 ELSE p END AS psi
         FROM sides s LEFT JOIN inner_edges USING (feature)
-        LEFT JOIN (SELECT feature, sum((a - e) * ln(a / e)) AS p FROM shares GROUP BY feature) USING (feature))"""
+        LEFT JOIN (SELECT feature, sum((a - e) * ln(a / e)) AS p FROM shares GROUP BY feature) USING (feature)),
+cdf AS (SELECT feature, value, sum(CAST(is_ref AS INT)) OVER w AS a, sum(CAST(NOT is_ref AS INT)) OVER w AS b FROM longs WINDOW w AS (PARTITION BY feature ORDER BY value)),
+ks AS (SELECT *, sqrt(CAST(rows_ref AS DOUBLE) * rows_cur / (rows_ref + rows_cur)) * d AS x FROM (
+       SELECT feature, rows_ref, rows_cur, max(abs(a / rows_ref - b / rows_cur)) AS d FROM cdf JOIN sides USING (feature) GROUP BY ALL)),"""
+        + f"""
+slices AS (SELECT count(*) FILTER (snapshot_date = (SELECT min(t) FROM snap)) AS reference_rows,
+                  count(*) FILTER (snapshot_date <> (SELECT min(t) FROM snap)) AS current_rows FROM {src})"""
     )
 
 
 _LEVEL = """CASE WHEN psi IS NULL THEN 'indeterminé' WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'dérive modérée'
      ELSE 'dérive significative' END"""
-_DRIFT_ROWS = f"""SELECT feature, {H('psi', 4)} AS psi, {_LEVEL} AS interpretation,
-       coalesce({H('psi', 4)}, 0) >= 0.2 AS drifted, {H('mean_ref', 4)} AS mean_ref, {H('mean_cur', 4)} AS mean_cur FROM psi"""
 _KS_SERIES = " + ".join(f"({2.0 * (-1) ** (k - 1)!r} * exp({-2.0 * k * k!r} * x * x))" for k in range(1, 101))
+_KS_P = H(f"CASE WHEN rows_ref > 20 AND rows_cur > 20 THEN CASE WHEN x < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {_KS_SERIES})) END END", 6)
+_DRIFT_ROWS = f"""SELECT feature, {H('psi', 4)} AS psi, {_LEVEL} AS interpretation,
+       coalesce({H('psi', 4)}, 0) >= 0.2 AS drifted, ks_pvalue, {H('mean_ref', 4)} AS mean_ref, {H('mean_cur', 4)} AS mean_cur,
+       reference_rows, current_rows
+FROM psi JOIN (SELECT feature, {_KS_P} AS ks_pvalue FROM ks) USING (feature), slices"""
 _BINNED = """SELECT bin, count(*) AS customers, {rate} AS churn_rate, CAST(sum(churn) AS BIGINT) AS leavers,
        CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_revenue
 FROM (SELECT *, CASE {case} END AS bin FROM feats) WHERE bin IS NOT NULL GROUP BY bin"""
@@ -464,11 +472,7 @@ FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey)""",
         *c.BASE,
         c.FEATS_ENDS,
         drift_sql(MODEL_FEATURES),
-        "cdf AS (SELECT feature, value, sum(CAST(is_ref AS INT)) OVER w AS a, sum(CAST(NOT is_ref AS INT)) OVER w AS b FROM longs WINDOW w AS (PARTITION BY feature ORDER BY value))",
-        "ks AS (SELECT feature, rows_ref, rows_cur, max(abs(a / rows_ref - b / rows_cur)) AS d FROM cdf JOIN sides USING (feature) GROUP BY ALL)",
-        select=f"""SELECT feature, rows_ref, rows_cur, {H('d', 9)} AS ks_distance,
-       {H(f'CASE WHEN rows_ref > 20 AND rows_cur > 20 THEN CASE WHEN x < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {_KS_SERIES})) END END', 6)} AS ks_pvalue
-FROM (SELECT *, sqrt(CAST(rows_ref AS DOUBLE) * rows_cur / (rows_ref + rows_cur)) * d AS x FROM ks)""",
+        select=f"SELECT feature, rows_ref, rows_cur, {H('d', 9)} AS ks_distance, {_KS_P} AS ks_pvalue FROM ks",
     ),
     "prediction_drift": c.sql(
         *c.BASE,
@@ -482,7 +486,7 @@ FROM (SELECT *, sqrt(CAST(rows_ref AS DOUBLE) * rows_cur / (rows_ref + rows_cur)
     ),
     "churn_by_recency": c.sql(
         *c.BASE,
-        c.FEATS,
+        c.FEATS_LAST,
         select=_BINNED.format(
             rate=_RATE,
             case="""WHEN days_since_last_order <= -1 THEN NULL WHEN days_since_last_order <= 30 THEN '<30j' WHEN days_since_last_order <= 60 THEN '30-60j'
@@ -491,7 +495,7 @@ FROM (SELECT *, sqrt(CAST(rows_ref AS DOUBLE) * rows_cur / (rows_ref + rows_cur)
     ),
     "churn_by_frequency": c.sql(
         *c.BASE,
-        c.FEATS,
+        c.FEATS_LAST,
         select=_BINNED.format(
             rate=_RATE,
             case="""WHEN purchase_frequency_30d <= 0 THEN NULL WHEN purchase_frequency_30d <= 1 THEN '0-1' WHEN purchase_frequency_30d <= 3 THEN '2-3'
@@ -500,14 +504,14 @@ FROM (SELECT *, sqrt(CAST(rows_ref AS DOUBLE) * rows_cur / (rows_ref + rows_cur)
     ),
     "recency_histogram": c.sql(
         *c.BASE,
-        c.FEATS,
+        c.FEATS_LAST,
         "lim AS (SELECT CAST(min(days_since_last_order) AS DOUBLE) AS lo, (CAST(max(days_since_last_order) AS DOUBLE) - min(days_since_last_order)) / 30 AS w FROM feats)",
         select=f"""SELECT churn, CAST(b + 1 AS INT) AS bin, count(*) AS customers, {H('lo + b * w', 6)} AS bin_start
 FROM (SELECT churn, lo, w, CAST(least(floor((days_since_last_order - lo) / w), 29) AS INT) AS b FROM feats, lim) GROUP BY ALL""",
     ),
     "risk_segment_counts": c.sql(
         *c.BASE,
-        c.FEATS,
+        c.FEATS_LAST,
         select="""SELECT CASE WHEN days_since_last_order <= 30 THEN 'Actif (<30j)' WHEN days_since_last_order <= 60 THEN 'Modéré (30-60j)'
  WHEN days_since_last_order <= 90 THEN 'Inactif (60-90j)' ELSE 'Très inactif (>90j)' END AS risk_segment, count(*) AS customers
 FROM feats WHERE days_since_last_order > -1 GROUP BY 1""",
@@ -534,11 +538,11 @@ FROM feats WHERE days_since_last_order > -1 GROUP BY 1""",
        coalesce(CAST(sum({_DEC}) FILTER (churn = 1) AS DOUBLE), 0) AS revenue_at_risk FROM feats""",
     ),
     "feature_correlation": c.sql(
-        *c.BASE, c.FEATS, select=f"SELECT *, abs(correlation) AS strength FROM ({_CORR})"
+        *c.BASE, c.FEATS_LAST, select=f"SELECT *, abs(correlation) AS strength FROM ({_CORR})"
     ),
     "category_importance": c.sql(
         *c.BASE,
-        c.FEATS,
+        c.FEATS_LAST,
         f"led AS (SELECT feature, abs(correlation) AS strength FROM ({_CORR}) WHERE correlation IS NOT NULL ORDER BY strength DESC, feature LIMIT 10)",
         "fam AS ("
         + " UNION ALL ".join(

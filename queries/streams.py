@@ -81,18 +81,11 @@ ORACLES = {
        CASE WHEN ok THEN 'scored' ELSE 'quarantined' END AS status
 FROM scores JOIN (SELECT customer_id, snapshot_date, problems, problems = '' AS ok FROM checked) USING (customer_id, snapshot_date)""",
     ),
-    "stream_daily_activity": c.sql(
-        _MARK,
-        select="""SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
+    "stream_daily_activity": """SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
        coalesce(CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'purchase') AS DOUBLE), 0) AS purchase_value
-FROM events, mark WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= wm GROUP BY 1, 2""",
-    ),
-    "stream_sliding_activity": c.sql(
-        _MARK,
-        select="""SELECT user_id, d + CAST(i AS INT) * INTERVAL 1 DAY AS window_end, count(*) AS events
-FROM (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS d FROM events), (SELECT unnest(range(1, 8)) AS i), mark
-WHERE d + CAST(i AS INT) * INTERVAL 1 DAY <= wm GROUP BY 1, 2""",
-    ),
+FROM events GROUP BY 1, 2""",
+    "stream_sliding_activity": """SELECT user_id, d + CAST(i AS INT) * INTERVAL 1 DAY AS window_end, count(*) AS events
+FROM (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS d FROM events), (SELECT unnest(range(1, 8)) AS i) GROUP BY 1, 2""",
     "stream_label_maturity": c.sql(
         _MARK.replace("max(ts) - INTERVAL 1 DAY", "max(ts) - INTERVAL 1 MICROSECOND - INTERVAL 1 DAY"),
         """days AS (SELECT DISTINCT user_id, event_type = 'purchase' AS bought,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from tidemark.operators import drift, insights, metrics, splits
-from tidemark.operators.ordered import quantile_bucket, rows_at_ranks, running_totals
+from tidemark.operators import drift, insights, metrics, quantiles, splits
+from tidemark.operators.ordered import equal_slices, quantile_bucket, rows_at_ranks, running_totals
 
 
 @pytest.mark.parametrize("kind", ["distinct", "one value", "a third tied", "few values"])
@@ -258,3 +259,114 @@ def test_early_stop_waits_for_later_gains():
     assert best_iteration([0.9, 0.91, 0.89, 0.9, 0.95], 30) == 3
     assert best_iteration([0.9, 0.91, 0.92, 0.1], 2) == 1
     assert best_iteration([0.9, 0.8, 0.7], 1) == 3
+
+
+# ---------------------------------------------------------- exact order statistics
+
+
+def test_order_codes_rise_with_the_number(spark):
+    rng = np.random.default_rng(3)
+    xs = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), 1.0, 2.0, np.nextafter(2.0, 0), np.nextafter(2.0, 3)]
+    xs += [float(x) for k in range(-1074, 1024, 7) for x in (2.0**k, np.nextafter(2.0**k, 0), np.nextafter(2.0**k, np.inf))]
+    xs += rng.normal(0, 1, 200).tolist() + (10.0 ** rng.uniform(-300, 300, 300)).tolist()
+    xs = sorted({float(s * x) for x in xs for s in (-1, 1)})
+    df = spark.createDataFrame([(x,) for x in xs] + [(float("nan"),), (None,)], "x double")
+    got = {r.x: r.code for r in df.select("x", quantiles.order_code(F.col("x")).alias("code")).collect() if r.x is not None and not math.isnan(r.x)}
+    assert [got[x] for x in xs] == [quantiles.code_of(x) for x in xs] == sorted(got.values())
+    assert df.where("x is null or isnan(x)").select(quantiles.order_code(F.col("x")).alias("c")).where("c is not null").count() == 0
+
+
+def _cases(rng, n, m):
+    wide = lambda k: np.where(rng.random(k) < 0.5, 1, -1) * 10.0 ** rng.uniform(-300, 300, k)
+    return {
+        "wide": (wide(n), wide(m)),
+        "same": (rng.normal(0, 1, n), rng.normal(0, 1, m)),
+        "clustered": (0.5 + rng.random(n) * 1e-13, 0.5 + rng.random(m) * 1.5e-13),
+        "one_value_mostly": (np.where(rng.random(n) < 0.7, 7.0, rng.random(n)), np.where(rng.random(m) < 0.7, 7.0, rng.random(m) * 20)),
+        "outlier": (np.append(rng.random(n - 1), 1e300), rng.random(m)),
+        "negative": (-(rng.random(n) ** 9), -(rng.random(m) ** 8)),
+    }
+
+
+@pytest.mark.parametrize("bits", [(12, 14), (2, 5)])
+def test_profiles_equal_sorting(spark, monkeypatch, bits):
+    monkeypatch.setattr(quantiles, "FIRST_BITS", bits[0])
+    monkeypatch.setattr(quantiles, "LATER_BITS", bits[1])
+    n, m = 701, 603
+    cases = _cases(np.random.default_rng(5), n, m)
+    frame = lambda i: spark.createDataFrame([tuple(float(v[i][k]) for v in cases.values()) + (None,) for k in range((n, m)[i])], ", ".join(f"{x} double" for x in [*cases, "gone"]))
+    levels = [0, 0.1, 0.25, 1 / 3, 0.5, 0.9, 1]
+    names = [*cases, "gone"]
+    with quantiles.two_sides(frame(0), frame(1), names) as table:
+        found = {p.feature: p for p in quantiles.profiles(table, names, lambda k: quantiles.ranks_of(k, levels), with_distance=True)}
+    for name, (a, b) in cases.items():
+        p, ordered = found[name], np.sort(a)
+        assert p.rows == (n, m) and p.slice_rows == (n, m)
+        assert p.at_rank == {r: ordered[r] for r in quantiles.ranks_of(n, levels)}, name
+        assert p.distance == pytest.approx(brute_ks(a, b), abs=1e-12), name
+    assert found["gone"].rows == (0, 0) and found["gone"].at_rank == {}
+
+
+def test_drift_passes_exchange_counts_only(spark):
+    """No value is an exchange key, and no pass writes a table."""
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(500)], "a double, b double")
+    plans = []
+    with quantiles.two_sides(df, df, ["a", "b"]) as table:
+        seen = quantiles._Search(quantiles.Profile("a", rows=(500, 500)), {3}, True, 40)
+        collect = type(table).collect
+        try:
+            type(table).collect = lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), collect(self))[1]
+            quantiles._counted(table, {0: seen}, True)
+        finally:
+            type(table).collect = collect
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plans[0])
+    assert keys and all(re.fullmatch(r"i#\d+, cell#\d+L?, \d+", k) for k in keys)
+
+
+def test_drift_report_is_sorted_and_counts_the_slices(spark):
+    rng = np.random.default_rng(1)
+    reference = spark.createDataFrame([(float(x), float(x)) for x in rng.normal(0, 1, 80)] + [(None, 1.0)], "a double, b double")
+    current = spark.createDataFrame([(float(x) + 3, float(x)) for x in rng.normal(0, 1, 60)], "a double, b double")
+    out = drift.feature_drift(reference, current, ["absent", "b", "a"]).collect()
+    assert [r.feature for r in out] == ["a", "b", "absent"]
+    assert {(r.reference_rows, r.current_rows) for r in out} == {(81, 60)}
+    assert out[0].ks_pvalue < 1e-6 and out[2].ks_pvalue is None and out[2].psi is None
+    assert drift.feature_drift(reference, current, ["absent"]).first().reference_rows == 81
+
+
+def test_descriptions_equal_numpy(spark):
+    rng = np.random.default_rng(2)
+    values = {"a": rng.normal(0, 1, 400), "b": rng.integers(0, 5, 400).astype(float), "c": 10.0 ** rng.uniform(-2, 6, 400)}
+    df = spark.createDataFrame([tuple(float(v[k]) for v in values.values()) + (None,) for k in range(400)], "a double, b double, c double, d double")
+    out = {r.feature: r for r in insights.describe_features(df, ["a", "b", "c", "d"]).collect()}
+    for name, v in values.items():
+        want = (400, v.mean(), v.std(ddof=1), v.min(), v.max(), *np.quantile(v, (0.25, 0.5, 0.75)))
+        assert tuple(out[name])[1:] == pytest.approx(want, abs=6e-5)
+    assert tuple(out["d"]) == ("d", 0, None, None, None, None, None, None, None)
+
+
+def test_slices_are_even_where_scores_cluster(spark):
+    rng = np.random.default_rng(7)
+    scores = np.unique(np.concatenate([0.5 + rng.random(9000) * 1e-9, rng.random(1000)]))
+    df = spark.createDataFrame([("x", float(s)) for s in scores] + [("y", 0.5)], "g string, score double")
+    cut = equal_slices(df, ["g"], "score", rows=200)
+    sizes = [r["count"] for r in cut.where("g = 'x'").groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 45 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    spans = cut.where("g = 'x'").groupBy("_bucket").agg(F.min("score").alias("a"), F.max("score").alias("b")).orderBy("_bucket").collect()
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+
+
+def test_metrics_without_groups(spark):
+    df = spark.createDataFrame([("x", 0.9, 1), ("x", 0.8, 0), ("x", 0.3, 0), ("x", None, 1)], "m string, churn_proba double, churn int")
+    want = metrics.evaluate(df, ["m"], 0.5, 0.1).drop("m").collect()
+    assert metrics.evaluate(df, [], 0.5, 0.1).collect() == want and want[0].rows == 3
+    assert metrics.roc_auc(df, []).first().roc_auc == metrics.roc_auc(df, ["m"]).first().roc_auc == 1.0
+    assert metrics.best_threshold(df, [], max_contact_rate=1.0).first() == metrics.best_threshold(df, ["m"], max_contact_rate=1.0).drop("m").first()
+    assert metrics.threshold_sweep(df, []).columns == metrics.threshold_sweep(df, ["m"]).drop("m").columns
+
+
+def test_lift_with_fractional_keys_and_missing_scores(spark):
+    df = spark.createDataFrame([(1.2, 0.5, 1), (1.7, 0.5, 0), (1.9, 0.5, 1), (0.1, None, 1)], "customer_id double, churn_proba double, churn int")
+    out = {r.top_percent: r for r in metrics.lift_at(df, (0.34, 0.67)).collect()}
+    assert out[34].k == 1 and out[34].precision_at_k == 1.0
+    assert out[67].k == 2 and out[67].precision_at_k == 0.5 and out[67].base_rate == pytest.approx(2 / 3, abs=1e-4)

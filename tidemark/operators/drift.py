@@ -1,13 +1,13 @@
 """Distribution shift between a reference slice and a current slice.
 
-All features are handled in one plan: the two slices are combined into counts
-per (feature, value), and quantile edges, histograms and the
-Kolmogorov-Smirnov distance are all read off that one table. A value shared by
-a third of the rows is one row there.
+All features share the passes of ``quantiles.profiles``: quantile edges and the
+Kolmogorov-Smirnov distance come from cell counts that are cut finer only where the
+answer can still change, so no value is shuffled and nothing is written.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.frames import side_by_side
 from tidemark.functions.numeric import half_even
-from tidemark.operators.ordered import quantile_bucket, running_totals
-from tidemark.session import materialize
+from tidemark.operators.quantiles import Profile, profiles, ranks_of, two_sides
 
 # fixed values
 PSI_STABLE = 0.10
@@ -31,109 +30,46 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("double") for c in columns})
 
 
-def value_counts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value, n_ref, n_cur) over both slices; nulls are left out.
-
-    Split points, prefix sums, totals and histograms each need other columns of
-    this table, so no exchange could be shared between them: it is written once.
-    """
-
-    def long(df: DataFrame, side: int) -> DataFrame:
-        present = [f for f in features if f in df.columns]
-        return (
-            coerce_numeric(df.select(*present), present)
-            .select(
-                F.inline(
-                    F.array(
-                        *[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in present]
-                    )
-                )
-            )
-            .filter(F.col("value").isNotNull())
-            .select(
-                "feature",
-                "value",
-                F.lit(1 - side).cast("bigint").alias("ref"),
-                F.lit(side).cast("bigint").alias("cur"),
-            )
-        )
-
-    counts = (
-        long(reference, 0)
-        .unionByName(long(current, 1))
-        .groupBy("feature", "value")
-        .agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    )
-    return materialize(counts, "value-counts")
-
-
-def accumulated(counts: DataFrame, n_features: int) -> DataFrame:
-    """Value counts with ``cum_n_ref`` and ``cum_n_cur`` along each feature's values."""
-    cut = quantile_bucket(counts, ["feature"], "value", n_features)
-    return running_totals(cut, ["feature"], "value", ["n_ref", "n_cur"])
-
-
-def side_totals(counts: DataFrame) -> DataFrame:
-    """Row counts and means of both slices, one row per feature."""
-    v = F.col("value")
-    return counts.groupBy("feature").agg(
-        F.sum("n_ref").alias("rows_ref"),
-        F.sum("n_cur").alias("rows_cur"),
-        F.try_divide(F.sum(v * F.col("n_ref")), F.sum("n_ref")).alias("mean_ref"),
-        F.try_divide(F.sum(v * F.col("n_cur")), F.sum("n_cur")).alias("mean_cur"),
-    )
-
-
-def quantile_values(cumulative: DataFrame, totals: DataFrame, levels: Sequence[float]) -> DataFrame:
-    """(feature, level, edge): linearly interpolated quantiles of the reference.
-
-    A quantile needs the values at two neighbouring positions; those at most
-    ``2 * len(levels)`` rows per feature are filtered out first.
-    """
-    last = (F.col("rows_ref") - 1).cast("double")
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(float(q)).alias("level"),
-                F.floor(last * q).cast("bigint").alias("lo"),
-                F.ceil(last * q).cast("bigint").alias("hi"),
-                (last * q - F.floor(last * q)).alias("part"),
-            )
-            for q in levels
-        ]
-    )
-    need = F.broadcast(totals.filter("rows_ref > 0").select("feature", wanted.alias("wanted")))
-    start, end = F.col("cum_n_ref") - F.col("n_ref"), F.col("cum_n_ref")
-    near = (
-        cumulative.filter("n_ref > 0")
-        .join(need, "feature")
-        .filter(
-            F.exists(
-                "wanted",
-                lambda w: ((w.lo >= start) & (w.lo < end)) | ((w.hi >= start) & (w.hi < end)),
-            )
-        )
-        .select("feature", "value", start.alias("s"), end.alias("e"), F.explode("wanted").alias("w"))
-    )
-    lo = F.max(F.when((F.col("w.lo") >= F.col("s")) & (F.col("w.lo") < F.col("e")), F.col("value")))
-    hi = F.max(F.when((F.col("w.hi") >= F.col("s")) & (F.col("w.hi") < F.col("e")), F.col("value")))
-    return (
-        near.groupBy("feature", "w")
-        .agg(lo.alias("lo"), hi.alias("hi"))
-        .select(
-            "feature",
-            F.col("w.level").alias("level"),
-            (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w.part")).alias("edge"),
-        )
-    )
-
-
-def quantile_edges(cumulative: DataFrame, totals: DataFrame, buckets: int = 10) -> DataFrame:
-    """Distinct quantiles of the reference, ascending, per feature."""
-    step = 1.0 / buckets
-    levels = [i * step for i in range(buckets)] + [1.0]
-    points = quantile_values(cumulative, totals, levels)
-    return points.groupBy("feature").agg(F.array_sort(F.collect_set("edge")).alias("edges"))
+def _levels(buckets: int) -> list[float]:
+    return [i * (1.0 / buckets) for i in range(buckets)] + [1.0]
+
+
+def _bin_shares(table: DataFrame, inner: dict[int, list[float]]) -> dict[int, list[tuple[int, int]]]:
+    """Rows of both sides per bin between the inner edges, in order; one row per column and bin leaves a task."""
+    if not inner:
+        return {}
+    most = max(map(len, inner.values()))
+    names = [f"e{k}" for k in range(most)]
+    listed = [(i, *edges, *[None] * (most - len(edges))) for i, edges in inner.items()]
+    edges = table.sparkSession.createDataFrame(listed, ", ".join(["i int", *[f"{n} double" for n in names]]))
+    bin_ = sum((F.when(F.col("x") >= F.col(n), 1).otherwise(0) for n in names), F.lit(0))
+    ours = F.when(F.col("side") == 0, 1).otherwise(0)
+    counted = (
+        table.where("x is not null")
+        .join(F.broadcast(edges), "i")
+        .groupBy("i", bin_.alias("bin"))
+        .agg(F.sum(ours).alias("r"), F.sum(1 - ours).alias("c"))
+    )
+    out: dict[int, list[tuple[int, int]]] = {i: [] for i in inner}
+    for i, _, r, c in sorted(map(tuple, counted.collect())):
+        out[i].append((r, c))
+    return out
+
+
+def _stability(table: DataFrame, known: Sequence[Profile], buckets: int) -> list[float | None]:
+    edges = {i: sorted({p.quantile(q) for q in _levels(buckets)}) for i, p in enumerate(known) if all(p.rows)}
+    shares = _bin_shares(table, {i: e[1:-1] for i, e in edges.items() if len(e) >= 3})
+    out: list[float | None] = []
+    for i, p in enumerate(known):
+        if not all(p.rows):
+            out.append(None)
+        elif i not in shares:
+            close = abs(p.mean[0] - p.mean[1]) <= 1e-8 + 1e-5 * abs(p.mean[1])
+            out.append(0.0 if close else 1.0)
+        else:  # a bin with no row on either side would add nothing
+            both = [(max(r / p.rows[0], PSI_FLOOR), max(c / p.rows[1], PSI_FLOOR)) for r, c in shares[i]]
+            out.append(sum((c - r) * math.log(c / r) for r, c in both))
+    return out
 
 
 def psi(
@@ -145,43 +81,12 @@ def psi(
     feature with fewer than three distinct edges is judged on its mean: 0 when
     close, 1 when not. Null when a side is empty.
     """
-    counts = value_counts(reference, current, features)
-    totals = side_totals(counts)
-    edges = quantile_edges(accumulated(counts, len(features)), totals, buckets)
-    small = totals.join(edges, "feature", "left")
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    binned = (
-        counts.join(
-            F.broadcast(small.filter(F.size("edges") >= 3).select("feature", inner.alias("inner"))),
-            "feature",
-        )
-        .groupBy(
-            "feature",
-            F.size(F.filter("inner", lambda e: e <= F.col("value"))).alias("bin"),
-            F.size("inner").alias("n_inner"),
-        )
-        .agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"))
-    )
-    # A bin with no row on either side would add nothing to the sum.
-    shares = binned.join(
-        F.broadcast(totals.select("feature", "rows_ref", "rows_cur")), "feature"
-    ).select(
-        "feature",
-        "bin",
-        F.greatest(F.try_divide(F.col("r"), F.col("rows_ref")), F.lit(PSI_FLOOR)).alias("e"),
-        F.greatest(F.try_divide(F.col("c"), F.col("rows_cur")), F.lit(PSI_FLOOR)).alias("a"),
-    )
-    summed = shares.groupBy("feature").agg(
-        F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("sum_psi")
-    )
-    close = F.abs(F.col("mean_ref") - F.col("mean_cur")) <= 1e-8 + 1e-5 * F.abs("mean_cur")
-    value = (
-        F.when((F.col("rows_ref") == 0) | (F.col("rows_cur") == 0), F.lit(None).cast("double"))
-        .when(F.coalesce(F.size("edges"), F.lit(0)) < 3, F.when(close, 0.0).otherwise(1.0))
-        .otherwise(F.col("sum_psi"))
-    )
-    return small.join(summed, "feature", "left").select(
-        "feature", value.alias("psi"), "rows_ref", "rows_cur", "mean_ref", "mean_cur"
+    with two_sides(reference, current, features) as table:
+        known = profiles(table, features, lambda n: ranks_of(n, _levels(buckets)))
+        values = _stability(table, known, buckets)
+    rows = [(p.feature, v, *p.rows, *p.mean) for p, v in zip(known, values)]
+    return reference.sparkSession.createDataFrame(
+        rows, "feature string, psi double, rows_ref bigint, rows_cur bigint, mean_ref double, mean_cur double"
     )
 
 
@@ -194,64 +99,67 @@ def interpretation(value: Column) -> Column:
     )
 
 
-def ks_distance(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance per feature and its asymptotic p-value.
+def ks_p_value(distance: float, n: int, m: int) -> float | None:
+    """The Kolmogorov series at ``sqrt(n m / (n + m)) * D``; none unless both slices have more than 20 rows."""
+    if min(n, m) <= KS_MIN_ROWS:
+        return None
+    x = math.sqrt(n * m / (n + m)) * distance
+    if x < 0.2:  # the alternating series converges slowly near zero, where the value is 1
+        return 1.0
+    series = sum(2.0 * (-1) ** (k - 1) * math.exp(-2.0 * k * k * x * x) for k in range(1, 101))
+    return max(0.0, min(1.0, series))
 
-    The p-value is the Kolmogorov series at ``sqrt(n m / (n + m)) * D``; it is
-    null unless both slices have more than 20 rows.
-    """
-    counts = value_counts(reference, current, features)
-    totals = F.broadcast(side_totals(counts).select("feature", "rows_ref", "rows_cur"))
-    steps = accumulated(counts, len(features)).join(totals, "feature")
-    difference = F.abs(
-        F.try_divide(F.col("cum_n_ref"), F.col("rows_ref"))
-        - F.try_divide(F.col("cum_n_cur"), F.col("rows_cur"))
-    )
-    d = steps.groupBy("feature", "rows_ref", "rows_cur").agg(F.max(difference).alias("ks_distance"))
-    n, m = F.col("rows_ref").cast("double"), F.col("rows_cur").cast("double")
-    x = F.sqrt(n * m / (n + m)) * F.col("ks_distance")
-    series = sum(
-        (F.lit(2.0 * (-1) ** (k - 1)) * F.exp(-2.0 * k * k * x * x) for k in range(1, 101)), F.lit(0.0)
+
+def ks_distance(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance per feature and its asymptotic p-value; both null when a side is empty."""
+    with two_sides(reference, current, features) as table:
+        known = profiles(table, features, with_distance=True)
+    rows = [(p.feature, *p.rows, p.distance, ks_p_value(p.distance, *p.rows)) if all(p.rows) else (p.feature, *p.rows, None, None) for p in known]
+    return reference.sparkSession.createDataFrame(
+        rows, "feature string, rows_ref bigint, rows_cur bigint, ks_distance double, ks_pvalue double"
     )
-    # The alternating series converges slowly near zero, where the value is 1.
-    p = F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
-    enough = (n > KS_MIN_ROWS) & (m > KS_MIN_ROWS)
-    return d.select("feature", "rows_ref", "rows_cur", "ks_distance", F.when(enough, p).alias("ks_pvalue"))
 
 
 def feature_drift(
-    reference: DataFrame,
-    current: DataFrame,
-    features: Sequence[str],
-    threshold: float = DRIFT_THRESHOLD,
-    with_ks: bool = False,
+    reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = DRIFT_THRESHOLD, buckets: int = 10
 ) -> DataFrame:
-    """One row per requested feature; one absent from a slice is reported, with null PSI."""
+    """The drift report: one row per requested feature, largest index first.
+
+    The Kolmogorov-Smirnov p-value stands beside the index as a second look and decides nothing. ``reference_rows``
+    and ``current_rows`` are those of the slices. A feature absent from a slice is reported, with
+    null index.
+    """
     both = [f for f in features if f in reference.columns and f in current.columns]
-    base = psi(reference, current, both)
+    known, values = [], {}
+    if both:
+        with two_sides(reference, current, both) as table:
+            known = profiles(table, both, lambda n: ranks_of(n, _levels(buckets)), with_distance=True)
+            values = dict(zip(both, _stability(table, known, buckets)))
+        sizes = known[0].slice_rows
+    else:
+        sizes = (reference.count(), current.count())
+    found = {p.feature: p for p in known}
+    rows = []
+    for f in features:
+        p = found.get(f)
+        ks = ks_p_value(p.distance, *p.rows) if p and all(p.rows) else None
+        rows.append((f, p is None, values.get(f), ks, *(p.mean if p else (None, None)), *sizes))
+    listed = reference.sparkSession.createDataFrame(
+        rows,
+        "feature string, absent boolean, psi double, ks_pvalue double, mean_ref double, mean_cur double, reference_rows bigint, current_rows bigint",
+    )
     value = F.col("psi")
-    out = base.select(
+    return listed.select(
         "feature",
         half_even(value, 4).alias("psi"),
-        interpretation(value).alias("interpretation"),
+        F.when(F.col("absent"), "absente").otherwise(interpretation(value)).alias("interpretation"),
         (F.coalesce(half_even(value, 4), F.lit(0.0)) >= threshold).alias("drifted"),
+        half_even(F.col("ks_pvalue"), 6).alias("ks_pvalue"),
         half_even(F.col("mean_ref"), 4).alias("mean_ref"),
         half_even(F.col("mean_cur"), 4).alias("mean_cur"),
-    )
-    if with_ks:
-        ks = ks_distance(reference, current, both).select(
-            "feature", half_even(F.col("ks_pvalue"), 6).alias("ks_pvalue")
-        )
-        out = out.join(F.broadcast(ks), "feature", "left")
-    listed = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    absent = [f for f in features if f not in both]
-    out = listed.join(out, "feature", "left")
-    label = F.coalesce("interpretation", F.lit("indeterminé"))
-    if absent:
-        label = F.when(F.col("feature").isin(absent), "absente").otherwise(label)
-    return out.withColumns(
-        {"interpretation": label, "drifted": F.coalesce("drifted", F.lit(False))}
-    )
+        "reference_rows",
+        "current_rows",
+    ).orderBy(F.coalesce("psi", F.lit(0.0)).desc(), "feature")
 
 
 def drift_summary(drift: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.binning import interval_label
 from tidemark.functions.numeric import half_even
 from tidemark.operators.ordered import at_or_before, rows_at_ranks
+from tidemark.operators.quantiles import profiles, ranks_of, two_sides
 from tidemark.session import materialize
 
 # fixed values: bins, labels, segment codes and feature families
@@ -243,39 +244,30 @@ def category_importance(strengths: DataFrame, top: int = 10) -> DataFrame:
 def describe_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per feature.
 
-    Quartiles come from counts per distinct value.
+    Quartiles are interpolated linearly between exact order statistics.
     """
-    from tidemark.operators.drift import accumulated, quantile_edges, side_totals, value_counts
-
-    moments = (
-        _long(df, features)
-        .groupBy("feature")
-        .agg(
-            F.count("x").alias("count"),
-            half_even(F.avg("x"), 4).alias("mean"),
-            half_even(F.stddev_samp("x"), 4).alias("std"),
-            half_even(F.min("x"), 4).alias("min"),
-            half_even(F.max("x"), 4).alias("max"),
+    levels = (0.25, 0.5, 0.75)
+    with two_sides(df, None, features) as table:
+        known = profiles(table, features, lambda n: ranks_of(n, levels))
+        moments = (
+            table.groupBy("i")
+            .agg(
+                F.count("x").alias("count"),
+                half_even(F.avg("x"), 4).alias("mean"),
+                half_even(F.stddev_samp("x"), 4).alias("std"),
+                half_even(F.min("x"), 4).alias("min"),
+                half_even(F.max("x"), 4).alias("max"),
+            )
+            .collect()
         )
-    )
-    counts = value_counts(df, df.limit(0), features)
-    spots = quantile_points(accumulated(counts, len(features)), side_totals(counts))
-    return moments.join(F.broadcast(spots), "feature", "left")
-
-
-def quantile_points(cumulative: DataFrame, totals: DataFrame) -> DataFrame:
-    """Linearly interpolated quartiles per feature."""
-    from tidemark.operators.drift import quantile_values
-
-    values = quantile_values(cumulative, totals, (0.25, 0.5, 0.75))
-    at = F.col("level")
-
-    def pick(q: float) -> Column:
-        return half_even(F.max(F.when(at == q, F.col("edge"))), 4)
-
-    return values.groupBy("feature").agg(
-        pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75")
-    )
+    spark = df.sparkSession
+    rows = []
+    for i, *figures in map(tuple, moments):
+        p = known[i]
+        rows.append((p.feature, *figures, *(p.quantile(q) if p.rows[0] else None for q in levels)))
+    names = ("count", "mean", "std", "min", "max", "q25", "q50", "q75")
+    table = spark.createDataFrame(rows, ", ".join(["feature string", "count bigint", *[f"{n} double" for n in names[1:]]]))
+    return table.select("feature", "count", *[half_even(F.col(n), 4).alias(n) if n.startswith("q") else n for n in names[1:]])
 
 
 def bounded_sample(df: DataFrame, n: int = 1000, by: Sequence[str] = ("customer_id",)) -> DataFrame:

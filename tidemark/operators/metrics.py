@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import half_even, ratio
-from tidemark.operators.ordered import at_or_before, rows_at_ranks, running_totals, unit_bucket
+from tidemark.operators.ordered import at_or_before, equal_slices, rows_at_ranks, running_totals
 from tidemark.session import materialize
 
 # fixed values of the default campaign
@@ -73,7 +73,7 @@ def score_histogram(
     df: DataFrame, groups: Sequence[str], proba: str = "churn_proba", target: str = "churn"
 ) -> DataFrame:
     """Counts of leavers and stayers per distinct score."""
-    return df.groupBy(*groups, F.col(proba).alias("score")).agg(
+    return df.where(F.col(proba).isNotNull()).groupBy(*groups, F.col(proba).alias("score")).agg(
         F.count_if(F.col(target) == 1).alias("pos"), F.count_if(F.col(target) == 0).alias("neg")
     )
 
@@ -84,9 +84,17 @@ def roc_auc(
     """Exact area under the ROC curve; equal scores count one half; one class gives 0.
 
     Twice the number of ordered pairs is summed as an exact decimal, so neither
-    rounding nor the order of the partial sums plays a part.
+    rounding nor the order of the partial sums plays a part. Rows without a score are left out.
     """
-    return _auc(_written_histogram(df, groups, proba, target), groups)
+    df, groups, one = _grouped(df, groups)
+    return _auc(_written_histogram(df, groups, proba, target), groups).drop(*one)
+
+
+def _grouped(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """The frame, its group columns, and those of them made here: no group column means one group."""
+    if groups:
+        return df, list(groups), []
+    return df.withColumn("_everything", F.lit(True)), ["_everything"], ["_everything"]
 
 
 def _written_histogram(df: DataFrame, groups: Sequence[str], proba: str, target: str) -> DataFrame:
@@ -96,8 +104,7 @@ def _written_histogram(df: DataFrame, groups: Sequence[str], proba: str, target:
 
 
 def _auc(hist: DataFrame, groups: Sequence[str]) -> DataFrame:
-    cut = hist.withColumn("_bucket", unit_bucket(F.col("score")))
-    below = running_totals(cut, groups, "score", ["neg"])
+    below = running_totals(equal_slices(hist, groups, "score"), groups, "score", ["neg"])
     wide = "decimal(19,0)"
     pairs = F.col("pos").cast(wide) * (F.col("cum_neg") * 2 - F.col("neg")).cast(wide)
     sums = below.groupBy(*groups).agg(
@@ -126,7 +133,7 @@ def evaluate(
 
     Everything but the area comes from the histogram that the area needs anyway.
     """
-    groups = list(groups)
+    df, groups, one = _grouped(df, groups)
     hist = _written_histogram(df, groups, proba, target)
     hit = F.col("score") >= threshold
     n = F.col("pos") + F.col("neg")
@@ -158,7 +165,7 @@ def evaluate(
     out = basic.join(_auc(hist, groups), groups)
     if baseline_f1 is not None:
         out = out.withColumn("f1_delta", half_even(F.col("f1") - F.lit(baseline_f1), 4))
-    return out
+    return out.drop(*one)
 
 
 def calibration_table(
@@ -202,10 +209,10 @@ def lift_at(
     """Precision and lift in the top fractions of the ranking.
 
     The rows at the cut ranks are located first; counting above a cut is then a
-    plain conditional aggregate over unsorted rows.
+    plain conditional aggregate over unsorted rows. Rows without a score have no rank and are left out.
     """
     narrow = materialize(
-        df.select((-F.col(proba)).alias("_neg"), F.col(target), *tie), "lift"
+        df.where(F.col(proba).isNotNull()).select((-F.col(proba)).alias("_neg"), F.col(target), *tie), "lift"
     )
     total = narrow.count()
     ks = {f: max(1, int(total * f)) for f in fractions}
@@ -241,24 +248,23 @@ def _sweep(
     target: str = "churn",
 ) -> DataFrame:
     """Counts and unrounded net value per threshold, those within the capacity only."""
-    groups = list(groups)
     start, step = 0.05, (0.05 + 0.01) - 0.05
     grid = [start + i * step for i in range(91)]
     # Index of the highest threshold not above the score: arithmetic, then corrected by one step.
-    guess = F.floor((F.col("score") - start) / step).cast("int")
+    score = F.col(proba)
+    guess = F.floor((score - start) / step).cast("int")
     limits = F.lit(grid)
     at = lambda i: F.get(limits, i)
     g = F.greatest(F.lit(-1), F.least(F.lit(90), guess))
     slot = (
-        F.when((g < 90) & (F.col("score") >= at(g + 1)), g + 1)
-        .when((g >= 0) & (F.col("score") < at(g)), g - 1)
+        F.when((g < 90) & (score >= at(g + 1)), g + 1)
+        .when((g >= 0) & (score < at(g)), g - 1)
         .otherwise(g)
     )
-    hist = score_histogram(df, groups, proba, target)
+    # The interval is a function of the score: 92 counts a group and task are all that is exchanged.
+    known = df.where(score.isNotNull() & F.col(target).isin(0, 1))
     counted = materialize(
-        hist.select(*groups, slot.alias("slot"), "pos", "neg")
-        .groupBy(*groups, "slot")
-        .agg(F.sum("pos").alias("pos"), F.sum(F.col("pos") + F.col("neg")).alias("n")),
+        known.groupBy(*groups, slot.alias("slot")).agg(F.count_if(F.col(target) == 1).alias("pos"), F.count(F.lit(1)).alias("n")),
         "threshold-counts",
     )
     # Every threshold gets a row even where no score falls between it and the next.
@@ -320,7 +326,8 @@ def threshold_sweep(
     the data is read once, not 91 times. Thresholds contacting nobody or more
     than the capacity are left out.
     """
-    return _shown(_sweep(df, groups, economics, max_contact_rate, proba, target))
+    df, groups, one = _grouped(df, groups)
+    return _shown(_sweep(df, groups, economics, max_contact_rate, proba, target)).drop(*one)
 
 
 def best_threshold(
@@ -332,7 +339,7 @@ def best_threshold(
     target: str = "churn",
 ) -> DataFrame:
     """The sweep's row of highest net value, lowest threshold first; 0.5 where none fits."""
-    groups = list(groups)
+    df, groups, one = _grouped(df, groups)
     swept = _sweep(df, groups, economics, max_contact_rate, proba, target)
     order = Window.partitionBy(*groups).orderBy(F.desc("net_value"), F.asc("threshold"))
     best = _shown(swept.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r"))
@@ -344,7 +351,7 @@ def best_threshold(
         "contact_rate",
         "precision",
         "net_value",
-    )
+    ).drop(*one)
 
 
 def campaign_value(

@@ -20,7 +20,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType
+
+from tidemark.operators.quantiles import order_code
 
 #: Split tables of more groups than this are joined without a broadcast hint.
 SPLIT_GROUPS_LIMIT = 10_000
@@ -31,7 +33,7 @@ def _probabilities(buckets: int) -> Column:
 
 
 def quantile_bucket(
-    df: DataFrame, groups: Sequence[str], value: str, n_groups: int, buckets: int = 64
+    df: DataFrame, groups: Sequence[str], value: str, n_groups: int, buckets: int = 64, accuracy: int = 1000
 ) -> DataFrame:
     """Add ``_bucket``: a contiguous slice of the group's values, of about equal row counts.
 
@@ -39,7 +41,7 @@ def quantile_bucket(
     list of feature names, say) and bounds what is broadcast.
     """
     splits = df.groupBy(*groups).agg(
-        F.percentile_approx(F.col(value).cast("double"), _probabilities(buckets), 1000).alias("_s")
+        F.percentile_approx(F.col(value).cast("double"), _probabilities(buckets), accuracy).alias("_s")
     )
     if n_groups <= SPLIT_GROUPS_LIMIT:
         splits = F.broadcast(splits)
@@ -50,9 +52,18 @@ def quantile_bucket(
     )
 
 
-def unit_bucket(value: Column, buckets: int = 1024) -> Column:
-    """Contiguous slices of [0, 1], for probabilities."""
-    return F.floor(value * buckets).cast("int")
+def equal_slices(df: DataFrame, groups: Sequence[str], value: str, rows: int = 1 << 18) -> DataFrame:
+    """Add ``_bucket``: contiguous slices of the group's values with about ``rows`` rows each.
+
+    The splits come from a mergeable quantile sketch, so slices are even however the values
+    cluster; their number follows the row count. ``df`` has one row per (groups, value) and is read twice:
+    pass a written table.
+    """
+    most = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    buckets = max(1, min(10_000, -(-most // rows)))
+    if buckets == 1:
+        return df.withColumn("_bucket", F.lit(0))
+    return quantile_bucket(df, groups, value, SPLIT_GROUPS_LIMIT + 1, buckets, 20 * buckets)
 
 
 def running_totals(
@@ -87,9 +98,13 @@ def running_totals(
 
 
 def tie_code(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A numeric tie-break: the column itself if it is one number, else its hash."""
-    if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, NumericType):
-        return F.col(columns[0]).cast("bigint")
+    """A numeric tie-break: the column itself if it is one whole number, its ordered bits if it is one fraction, else its hash."""
+    if len(columns) == 1:
+        kind = df.schema[columns[0]].dataType
+        if isinstance(kind, IntegralType) or (isinstance(kind, DecimalType) and kind.scale == 0 and kind.precision <= 18):
+            return F.col(columns[0]).cast("bigint")
+        if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+            return order_code(F.col(columns[0]).cast("double"))
     return F.xxhash64(*columns)
 
 
