@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,8 +12,6 @@ from tidemark.operators.features import snapshot_dataset
 from tidemark.schemas import TRANSACTIONS
 from tidemark.session import materialize, scratch_root
 from tidemark.sources import files
-from tidemark.sources import star
-from tidemark.streaming import jobs
 
 
 def test_zoned_dates_become_wall_clock(spark, tmp_path):
@@ -57,53 +54,6 @@ def test_the_clusters_scratch_folder_is_used(spark):
     assert df.count() == 5 and scratch_root(spark) in df.inputFiles()[0]
 
 
-def test_replayed_activity_counts_every_event(spark, sf):
-    """Windows still open at the end of the table are emitted too."""
-    from queries import streams
-
-    events = star.table(spark, sf, "events")
-    n, days = events.agg(F.count("*"), F.count_distinct(F.to_date("ts"))).first()
-    daily = streams.stream_daily_activity(spark, sf)
-    assert tuple(daily.agg(F.sum("events"), F.count_distinct("day")).first()) == (n, days)
-    assert streams.stream_sliding_activity(spark, sf).agg(F.sum("events")).first()[0] == 7 * n
-
-
-def test_streamed_files_one_by_one_equal_one_batch(spark, tmp_path):
-    """Events split by time over files, one file per micro-batch: closed days agree with the batch."""
-    schema = jobs.EVENTS
-    data = [(i, at(i / 4), i % 3, "purchase" if i % 2 else "view", 1.5, "{}") for i in range(80)]
-    for part in range(4):
-        df = spark.createDataFrame(data[part * 20 : part * 20 + 20], schema)
-        df.coalesce(1).write.parquet(str(tmp_path / f"p{part}"))
-    source = tmp_path / "in"
-    source.mkdir()
-    for part in range(4):
-        for f in (tmp_path / f"p{part}").glob("part-*.parquet"):
-            target = source / f"events-{part}.parquet"
-            target.write_bytes(f.read_bytes())
-            os.utime(target, (1_700_000_000 + part, 1_700_000_000 + part))  # read oldest first
-    stream = jobs.event_stream(spark, str(source), max_files=1)
-    got = {(r.user_id, r.day): (r.events, r.purchases) for r in jobs.run_available(jobs.daily_activity(stream), "d").collect()}
-    mark = at(79 / 4) - dt.timedelta(days=1)
-    want: dict = {}
-    for _, ts, user, kind, *_ in data:
-        day = ts.replace(hour=0, minute=0, second=0, microsecond=0)
-        if day + dt.timedelta(days=1) <= mark:
-            n, p = want.get((user, day), (0, 0))
-            want[(user, day)] = (n + 1, p + (kind == "purchase"))
-    assert got == want
-    states = jobs.run_available(
-        jobs.consent_state(jobs.consent_events(jobs.event_stream(spark, str(source), max_files=1).withColumn("event_type", F.when(F.col("event_type") == "view", "error").otherwise("signup")))),
-        "c",
-    )
-    assert states.agg(F.max("version")).first()[0] == 4
-    latest = {r.customer_id: (r.objection_at, r.withdrawn_at) for r in jobs.current_consent(states).collect()}
-    for user in range(3):
-        views = [ts for _, ts, u, kind, *_ in data if u == user and kind == "view"]
-        buys = [ts for _, ts, u, kind, *_ in data if u == user and kind == "purchase"]
-        assert latest[user] == (max(views), max(buys))
-
-
 def test_side_by_side_refuses_a_second_row(spark):
     from tidemark.functions.frames import side_by_side
 

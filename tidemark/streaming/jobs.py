@@ -1,24 +1,26 @@
 """Structured Streaming forms of scoring, activity, labels, consent and ingest.
 
-Every job is a DataFrame-to-DataFrame transformation; ``run_available`` drives
-it over what the source holds and leaves a table. Sinks are file sinks with a
-checkpoint in the shared folder, so a job killed at any point resumes.
+Every job is a DataFrame-to-DataFrame transformation that ``runs`` drives over what the
+source holds, or a function of a stream and the job's folder. A job called again with its
+folder goes on where it was stopped.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.numeric import half_even
+from tidemark.operators import consent
 from tidemark.operators.scoring import LinearScorer, risk_level, served_row_problems
 from tidemark.schemas import EVENTS, MODEL_FEATURES
-from tidemark.session import scratch_path
+from tidemark.streaming import runs
 
 DAY = "1 day"
 #: Event time of the row that ends a replay; its own window never closes.
@@ -33,38 +35,9 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_available(
-    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None, partition_by: Sequence[str] = ()
-) -> DataFrame:
-    """Process everything available into a Parquet table and return it."""
-    spark = stream.sparkSession
-    path = path or scratch_path(spark, label)
-    checkpoint = checkpoint or scratch_path(spark, f"{label}-checkpoint")
-    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    try:
-        query.awaitTermination()
-    finally:
-        query.stop()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
-def replay_available(events: DataFrame, job: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
-    """``job`` over everything available, windows still open at the end included.
-
-    The job runs twice on one checkpoint: over the events, then over a single row far ahead of
-    them, which moves the watermark past every window. Events that come later would be late.
-    """
-    spark = events.sparkSession
-    ends, path, checkpoint = (scratch_path(spark, f"{label}{x}") for x in ("-end", "", "-checkpoint"))
-    spark.createDataFrame([], events.schema).write.parquet(ends)
-    stream = job(events.unionByName(spark.readStream.schema(events.schema).parquet(ends)))
-    run_available(stream, label, path, checkpoint)
-    last = [tuple(END if f.name == "ts" else None for f in events.schema)]
-    spark.createDataFrame(last, events.schema).write.mode("append").parquet(ends)
-    return run_available(stream, label, path, checkpoint)
+def replay_available(events: DataFrame, job: Callable[[DataFrame], DataFrame], folder: str) -> DataFrame:
+    """``job`` over all events, windows still open at the end included; see ``runs.replay``."""
+    return runs.replay(events, job, folder, "ts", END)
 
 
 # -------------------------------------------------------------------- scoring
@@ -97,6 +70,26 @@ def score_stream(
     )
 
 
+def score_into(
+    rows: DataFrame, model: LinearScorer, threshold: float, folder: str, features: Sequence[str] = MODEL_FEATURES, keys: Sequence[str] = ("customer_id", "snapshot_date")
+) -> StreamingQuery:
+    """Start scoring a stream into two tables, ``folder/scored`` and ``folder/quarantined``.
+
+    Each micro-batch is scored once and written to both under its number, so one that is run again
+    after a failure replaces its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        scored = score_stream(batch, model, threshold, features, keys).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for status in ("scored", "quarantined"):
+                runs.replace_batch(scored.where(F.col("status") == status), f"{folder}/{status}", batch_id)
+        finally:
+            scored.unpersist()
+
+    return runs.start_batches(rows, folder, write)
+
+
 # ------------------------------------------------------------------- activity
 
 
@@ -181,50 +174,41 @@ def matured_labels(rows: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- consent
 
-_STATE = "customer_id bigint, purpose string, version bigint, objection_at timestamp, withdrawn_at timestamp"
-
-
 def consent_state(events: DataFrame) -> DataFrame:
-    """Objections and withdrawals folded to the current state per (customer, purpose).
+    """Latest objection and withdrawal per (customer, purpose), to be written in update mode.
 
-    ``events`` is (customer_id, purpose, kind, at). Each micro-batch that changes
-    a key emits one row with a higher version; the batches of a key arrive as an
-    iterator and only two instants are held.
+    ``events`` is (customer_id, purpose, kind, at). Events are combined before they reach
+    the state store, which holds two instants a key.
     """
+    kind, at = F.col("kind"), F.col("at")
+    return events.groupBy("customer_id", "purpose").agg(
+        F.max(F.when(kind == "objection", at)).alias("objection_at"),
+        F.max(F.when(kind == "withdrawal", at)).alias("withdrawn_at"),
+    )
 
-    def fold(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        version, objection, withdrawal = state.get if state.exists else (0, None, None)
-        latest = {"objection": objection, "withdrawal": withdrawal}
-        for pdf in batches:
-            for kind, at in pdf.groupby("kind")["at"].max().items():
-                micros = int(at.value // 1000)
-                if latest[kind] is None or micros > latest[kind]:
-                    latest[kind] = micros
-        version += 1
-        state.update((version, latest["objection"], latest["withdrawal"]))
-        yield pd.DataFrame(
-            {
-                "customer_id": [key[0]],
-                "purpose": [key[1]],
-                "version": [version],
-                "objection_at": [_instant(latest["objection"])],
-                "withdrawn_at": [_instant(latest["withdrawal"])],
-            }
-        )
 
-    return events.groupBy("customer_id", "purpose").applyInPandasWithState(
-        fold,
-        _STATE,
-        "version bigint, objection bigint, withdrawal bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
+def consent_into(events: DataFrame, folder: str) -> StreamingQuery:
+    """Start keeping the consent state of a stream in ``folder/state``: one row a key, in the newest version."""
+    return runs.start_batches(
+        consent_state(events), folder, lambda batch, batch_id: runs.upsert(batch, f"{folder}/state", batch_id, ["customer_id", "purpose"]), "update"
     )
 
 
-def _instant(micros: int | None):
-    return pd.NaT if micros is None else pd.Timestamp(micros, unit="us")
+def current_consent(spark: SparkSession, folder: str, customer_type: str = "bigint") -> DataFrame:
+    """The state ``consent_into`` has reached, instants as wall clock."""
+    schema = T.StructType.fromDDL(f"customer_id {customer_type}, purpose string, objection_at timestamp, withdrawn_at timestamp")
+    at = {c: F.col(c).cast("timestamp_ntz") for c in ("objection_at", "withdrawn_at")}
+    return runs.newest(spark, f"{folder}/state", schema).withColumns(at)
+
+
+def consent_registry(registry: DataFrame, states: DataFrame) -> DataFrame:
+    """The registry after the streamed events: an objection may add a person, a withdrawal never does."""
+    events = states.select(
+        "customer_id",
+        "purpose",
+        F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("at")) for k, c in (("objection", "objection_at"), ("withdrawal", "withdrawn_at"))])),
+    )
+    return consent.apply_events(registry, events.where("at is not null"))
 
 
 def consent_events(events: DataFrame, purpose: str = "marketing_email") -> DataFrame:
@@ -237,14 +221,6 @@ def consent_events(events: DataFrame, purpose: str = "marketing_email") -> DataF
     )
 
 
-def current_consent(states: DataFrame) -> DataFrame:
-    """The newest state row per key."""
-    return states.groupBy("customer_id", "purpose").agg(
-        F.max_by("objection_at", "version").cast("timestamp_ntz").alias("objection_at"),
-        F.max_by("withdrawn_at", "version").cast("timestamp_ntz").alias("withdrawn_at"),
-    )
-
-
 # --------------------------------------------------------------------- ingest
 
 
