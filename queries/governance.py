@@ -79,7 +79,7 @@ def journal_no_personal_data(spark, sf):
     """Event payloads whose key is renamed to a forbidden one for two kinds of event."""
     payload = F.when(
         F.col("event_type") == "signup",
-        F.concat(F.lit('{"details": {"Email": "x"}, "more": '), F.col("props"), F.lit("}")),
+        F.concat(F.lit(r'{"details": [1, {"\u0045mail": "\"phone\":"}], "more": '), F.col("props"), F.lit("}")),
     ).when(F.col("event_type") == "error", F.regexp_replace("props", '"k"', '"customer_id"')).otherwise(F.col("props"))
     return star.table(spark, sf, "events").select(
         "event_id", F.concat_ws(",", privacy.json_forbidden_keys(payload)).alias("forbidden")
@@ -95,7 +95,7 @@ def journal_append_to_existing(spark, sf):
     entries = journal_entries(spark, sf)
     old = entries.filter(F.col("at") < c.ntz(SPLIT_AT))
     new = entries.filter(F.col("at") >= c.ntz(SPLIT_AT))
-    options = {"order_by": ["at", "order_id"], "details": ["order_id", "priority"]}
+    options = {"order_by": ["at", "order_id"], "details": ["order_id", "priority"], "host": "spark", "pid": 1}
     first = materialize(journal.append(old, **options), "journal")
     heads = first.groupBy("journal_id").agg(F.max("seq").alias("seq"), F.max_by("line", "seq").alias("line"))
     return first.unionByName(journal.append(new, heads=heads, **options))

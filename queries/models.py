@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from queries import common as c
@@ -18,7 +19,7 @@ from tidemark.sources import star
 
 
 def train_model(spark, sf):
-    """Quality per split of a tree ensemble with early stopping and a tuned threshold."""
+    """Quality and lift per split of a tree ensemble with early stopping, and the record of the run: threshold, gap, best iteration."""
     return training.train_model(c.features(spark, sf), dates=c.dates(spark, sf)).metrics
 
 
@@ -34,6 +35,26 @@ def score_batch(spark, sf):
     return c.scores(spark, sf).drop("churn")
 
 
+class _Logistic:
+    """A model as other libraries make them: ``predict_proba`` of a frame of features, one column a class."""
+
+    def __init__(self, model: scoring.LinearScorer, features):
+        self.intercept = model.intercept
+        self.weights = [model.weights.get(f, 0.0) for f in features]
+
+    def predict_proba(self, frame):
+        z = np.full(len(frame), self.intercept)
+        for name, weight in zip(frame.columns, self.weights):
+            z = z + weight * frame[name].to_numpy()
+        p = 1.0 / (1.0 + np.exp(-z))
+        return np.column_stack([1 - p, p])
+
+
+def score_outside_model(spark, sf):
+    model = scoring.OutsideModel.of(_Logistic(c.V1, MODEL_FEATURES), c.V1.version, MODEL_FEATURES)
+    return scoring.score_batch(c.features(spark, sf, "latest"), model, c.THRESHOLD, F.col("snapshot_date"), keep=["snapshot_date"])
+
+
 def run_scoring(spark, sf):
     """The contact list of the whole scoring chain."""
     run = scoring_run.run_scoring(
@@ -85,12 +106,26 @@ def promotion_verdict(spark, sf):
 
 
 def production_history(spark, sf):
-    """Promotions of one model per order priority: a new version with each year of orders."""
-    events = star.table(spark, sf, "orders").groupBy(
-        F.col("o_orderpriority").alias("model_name"),
-        F.concat(F.lit("v"), F.year("o_orderdate").cast("string")).alias("version"),
-    ).agg(F.max("o_orderdate").alias("promoted_at"))
-    return decisions.production_history(events)
+    """Promotions of one model per order priority: a new version with each year of orders; rolled back after 1997, and twice after 1999."""
+    yearly = star.table(spark, sf, "orders").groupBy(
+        F.col("o_orderpriority").alias("model_name"), F.year("o_orderdate").alias("year")
+    ).agg(F.max("o_orderdate").alias("at"))
+    backs = F.when(F.col("year") == 1997, 1).when(F.col("year") == 1999, 2).otherwise(0)
+    events = yearly.select(
+        "model_name",
+        F.explode(F.sequence(F.lit(0), backs)).alias("k"),
+        F.concat(F.lit("v"), F.col("year").cast("string")).alias("version"),
+        "at",
+    )
+    back = F.col("k") > 0
+    return decisions.production_history(
+        events.select(
+            "model_name",
+            F.when(~back, F.col("version")).alias("version"),
+            (F.col("at") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("k"))).alias("promoted_at"),
+            F.when(back, "rollback").otherwise("promotion").alias("kind"),
+        )
+    )
 
 
 def rollback_target(spark, sf):
@@ -151,6 +186,7 @@ QUERIES = {
         train_legacy,
         feature_importance,
         score_batch,
+        score_outside_model,
         run_scoring,
         champion_challenger,
         retraining_decision,
@@ -170,10 +206,20 @@ _VERSUS = f"""SELECT b.model_version AS candidate, 'v0001' AS champion, b.f1 AS
        {H('b.f1 - a.f1', 4)} AS gain, b.f1 - a.f1 > 0 AS promote
 FROM (SELECT model_version, {H(_F1, 4)} AS f1 FROM ({_CONFUSION})) a, (SELECT model_version, {H(_F1, 4)} AS f1 FROM ({_CONFUSION})) b
 WHERE a.model_version = 'v0001' AND b.model_version <> 'v0001'"""
-_HISTORY = """SELECT model_name, version, promoted_at, lag(version) OVER w AS promoted_from,
-       CASE WHEN lead(version) OVER w IS NULL THEN 'production' ELSE 'archived' END AS stage
-FROM (SELECT o_orderpriority AS model_name, 'v' || year(o_orderdate) AS version, max(o_orderdate) AS promoted_at FROM orders GROUP BY 1, 2)
-WINDOW w AS (PARTITION BY model_name ORDER BY promoted_at, version)"""
+#: The fold as recursion: ``stack`` holds the versions a rollback may still go to.
+_HISTORY = """WITH RECURSIVE yearly AS (SELECT o_orderpriority AS model_name, year(o_orderdate) AS y, max(o_orderdate) AS done FROM orders GROUP BY 1, 2),
+ev AS (SELECT model_name, CASE WHEN k = 0 THEN 'v' || y END AS version, done + CAST(k AS INT) * INTERVAL 1 MINUTE AS promoted_at, k > 0 AS back,
+              row_number() OVER (PARTITION BY model_name ORDER BY done + CAST(k AS INT) * INTERVAL 1 MINUTE) AS i,
+              count(*) OVER (PARTITION BY model_name) AS n
+       FROM yearly, range(0, 3) r(k) WHERE k = 0 OR (y = 1997 AND k = 1) OR y = 1999),
+walk AS (
+  SELECT model_name, i, n, version, promoted_at, back, CAST(NULL AS VARCHAR) AS promoted_from, CAST([] AS VARCHAR[]) AS stack FROM ev WHERE i = 1
+  UNION ALL
+  SELECT e.model_name, e.i, e.n, CASE WHEN e.back THEN w.stack[-1] ELSE e.version END, e.promoted_at, e.back, w.version,
+         CASE WHEN e.back THEN w.stack[:-2] ELSE list_append(w.stack, w.version) END
+  FROM walk w JOIN ev e ON e.model_name = w.model_name AND e.i = w.i + 1)
+SELECT model_name, version, promoted_at, CASE WHEN back THEN 'rollback' ELSE 'promotion' END AS promoted_by, promoted_from, stack[-1] AS rollback_to,
+       CASE WHEN i = n THEN 'production' ELSE 'archived' END AS stage FROM walk"""
 _SIGNALS = """SELECT CAST(year AS INT) AS year, u AS erasure_requests, CASE WHEN year <> 1997 THEN CAST(n % 7 - 5 AS DOUBLE) / 20 END AS performance_delta,
        CAST(n % 4 AS INT) AS features_drifted, f / n > 0.33 AS predictions_drifted, CAST((2001 - year) * 40 AS INT) AS model_age_days
 FROM (SELECT year(o_orderdate) AS year, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f,
@@ -206,8 +252,9 @@ FROM (SELECT *, e OR w OR m OR o AS should FROM (SELECT *, erasure_requests > 0
        CASE WHEN promote AND gain > 0 THEN 'gain' ELSE 'insufficient_gain' END AS reason FROM versus
 UNION ALL SELECT *, 'critique', true, 'legal' FROM versus""",
     ),
+    "score_outside_model": c.sql(*c.BASE, c.FEATS_LAST, c.scores_sql(c.V1), select="SELECT * EXCLUDE (churn) FROM scores"),
     "production_history": _HISTORY,
-    "rollback_target": f"SELECT model_name, version AS current, promoted_from AS rollback_to FROM ({_HISTORY}) WHERE stage = 'production'",
+    "rollback_target": f"SELECT model_name, version AS current, rollback_to FROM ({_HISTORY}) WHERE stage = 'production'",
     "campaign_net_value": c.sql(
         *_MODELS,
         select=f"""SELECT model_version, tp + fp AS contacted, tp AS true_positives,
@@ -243,7 +290,7 @@ FROM d, p, e, r""",
         c.OPTED_IN,
         c.OBJECTED,
         select="""SELECT 'broken_journals' AS "check", CAST(count(*) AS BIGINT) AS value FROM (
-    SELECT DISTINCT journal_id FROM (SELECT journal_id, regexp_extract(line, '"previous_hash": "([0-9a-f]*)"', 1)
+    SELECT DISTINCT journal_id FROM (SELECT journal_id, regexp_extract(line, '"previous_hash":"([0-9a-f]*)"', 1)
       <> coalesce(sha256(lag(line) OVER (PARTITION BY journal_id ORDER BY seq)), repeat('0', 64)) AS broken FROM chain) WHERE broken)
 UNION ALL SELECT 'journal_entries', count(*) FROM chain
 UNION ALL SELECT 'pending_erasures', count(*) FROM customer WHERE c_custkey % 97 = 0 AND c_custkey % 2 = 0

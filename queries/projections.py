@@ -61,10 +61,13 @@ def retention_trace(spark, sf):
 
 
 def normalize_utc(spark, sf):
-    """Order dates written as text in three ways: with an offset, without one, and unreadable."""
+    """Order dates written as text: with an offset in hours and minutes, in hours, a region, none, and unreadable."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     text = (
-        F.when(F.col("o_orderstatus") == "O", F.concat(day, F.lit("+02:00")))
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(day, F.lit("-03")))
+        .when(F.col("o_orderkey") % 7 == 1, F.concat(F.regexp_replace(day, " ", "T"), F.lit("z")))
+        .when(F.col("o_orderkey") % 7 == 2, F.concat(day, F.lit(" Asia/Tokyo")))
+        .when(F.col("o_orderstatus") == "O", F.concat(day, F.lit("+02:00")))
         .when(F.col("o_orderstatus") == "F", day)
         .otherwise(F.lit("not a date"))
     )
@@ -250,7 +253,8 @@ WHERE order_date IS NULL OR order_date >= (SELECT max(order_date) FROM tx) - INT
 FROM (SELECT order_date >= (SELECT max(order_date) FROM tx) - INTERVAL 1095 DAY AS keep FROM tx)""",
     ),
     "normalize_utc": """SELECT o_orderkey AS order_id,
-       CASE o_orderstatus WHEN 'O' THEN o_orderdate - INTERVAL 2 HOUR WHEN 'F' THEN o_orderdate END AS order_date
+       CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 3 HOUR WHEN o_orderkey % 7 = 1 THEN o_orderdate WHEN o_orderkey % 7 = 2 THEN o_orderdate - INTERVAL 9 HOUR
+            WHEN o_orderstatus = 'O' THEN o_orderdate - INTERVAL 2 HOUR WHEN o_orderstatus = 'F' THEN o_orderdate END AS order_date
 FROM orders""",
     "coerce_numeric": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events
 WHERE event_type <> 'error' AND json_extract_string(props, '$.k') IS NOT NULL""",

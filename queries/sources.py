@@ -102,18 +102,42 @@ def journal_entries(spark, sf):
 
 def journal_lines(spark, sf):
     return journal.append(
-        journal_entries(spark, sf), order_by=["at", "order_id"], details=["order_id", "priority"]
+        journal_entries(spark, sf), order_by=["at", "order_id"], details=["order_id", "priority"], host="spark", pid=1
     )
 
 
+def scan_bad_records(spark, sf):
+    """Orders written as text without flags, in three date forms; the amount of every 50th order is no number."""
+    path = scratch_path(spark, "texts")
+    day, key = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.col("o_orderkey")
+    star.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        key.cast("string").alias("order_id"),
+        F.when(key % 3 == 0, F.concat(day, F.lit("+02"))).when(key % 3 == 1, day).otherwise("soon").alias("order_date"),
+        F.when(key % 50 == 0, "free").otherwise(F.col("o_totalprice").cast("string")).alias("order_value"),
+        F.col("o_orderpriority").alias("product_category"),
+    ).write.option("header", "true").csv(path)
+    schema = T.StructType([_NUMERIC_ID, T.StructField("order_id", T.LongType()), *[f for f in TRANSACTIONS.fields if f.name != "customer_id"]])
+    checked = files.read_checked(spark, path, schema, ["customer_id", "order_date"])
+    return checked.withColumn(files.PROBLEMS, F.concat_ws(",", files.PROBLEMS))
+
+
 def scan_journal(spark, sf):
-    return journal.read_entries(journal_lines(spark, sf)).select(
-        "journal_id",
+    """Journals of each order status, written as JSONL files and read back."""
+    path = scratch_path(spark, "journals")
+    entries = journal_entries(spark, sf).withColumn("journal_id", F.col("outcome"))
+    lines = journal.append(entries, order_by=["at", "order_id"], details=["order_id", "priority"], host="spark", pid=1)
+    lines.select("journal_id", "line").write.partitionBy("journal_id").text(path)
+    back = journal.read_entries(journal.read_journal_files(spark, path))
+    return back.select(
+        F.regexp_extract("journal_id", "journal_id=([^/]*)/", 1).alias("journal_id"),
         "seq",
         "timestamp",
         "event",
         "purpose",
         "outcome",
+        "host",
+        "pid",
         F.col("details")["order_id"].alias("order_id"),
         F.col("details")["priority"].alias("priority"),
     )
@@ -131,6 +155,7 @@ QUERIES = {
         scores_sink,
         calibration_sink,
         json_reports,
+        scan_bad_records,
         scan_journal,
     )
 }
@@ -173,9 +198,14 @@ FROM scores GROUP BY ALL""",
        CAST(sum(churn) AS BIGINT) AS leavers, {c.half_even('sum(churn) / count(*)', 4)} AS churn_rate
 FROM feats GROUP BY snapshot_date""",
     ),
-    "scan_journal": """SELECT o_custkey AS journal_id,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS seq,
+    "scan_bad_records": """SELECT o_custkey AS customer_id, o_orderkey AS order_id,
+       CASE o_orderkey % 3 WHEN 0 THEN o_orderdate - INTERVAL 2 HOUR WHEN 1 THEN o_orderdate END AS order_date,
+       CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS order_value, o_orderpriority AS product_category,
+       concat_ws(',', CASE WHEN o_orderkey % 3 = 2 THEN 'order_date' END, CASE WHEN o_orderkey % 50 = 0 THEN 'order_value' END) AS unreadable
+FROM orders""",
+    "scan_journal": """SELECT o_orderstatus AS journal_id,
+       row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) - 1 AS seq,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'order' AS event, 'churn_scoring' AS purpose,
-       o_orderstatus AS outcome, CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS priority
+       o_orderstatus AS outcome, 'spark' AS host, CAST(1 AS BIGINT) AS pid, CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS priority
 FROM orders""",
 }

@@ -78,9 +78,9 @@ GROUP BY customer_id"""
 #: The journal rewritten as SQL: each line needs the digest of the one before it.
 CHAIN = """numbered AS (
   SELECT o_custkey AS journal_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS seq,
-         '{"timestamp": "' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '", "event": "order", "purpose": "churn_scoring", "outcome": "'
-           || o_orderstatus || '", "previous_hash": "' AS head,
-         '", "details": {"order_id": "' || o_orderkey || '", "priority": "' || o_orderpriority || '"}}' AS tail,
+         '{"timestamp":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '","event":"order","purpose":"churn_scoring","outcome":"'
+           || o_orderstatus || '","host":"spark","pid":1,"previous_hash":"' AS head,
+         '","details":{"order_id":"' || o_orderkey || '","priority":"' || o_orderpriority || '"}}' AS tail,
          o_orderpriority AS priority
   FROM orders),
 chain AS (
@@ -90,7 +90,7 @@ chain AS (
     ON n.journal_id = chain.journal_id AND n.seq = chain.seq + 1)"""
 
 _VERIFY = """SELECT journal_id, count(*) AS entries, min(n) FILTER (broken) IS NULL AS intact, min(n) FILTER (broken) AS first_break
-FROM (SELECT journal_id, n, regexp_extract(line, '"previous_hash": "([0-9a-f]*)"', 1)
+FROM (SELECT journal_id, n, regexp_extract(line, '"previous_hash":"([0-9a-f]*)"', 1)
              <> coalesce(sha256(lag(line) OVER (PARTITION BY journal_id ORDER BY n)), repeat('0', 64)) AS broken
       FROM (SELECT journal_id, line, row_number() OVER (PARTITION BY journal_id ORDER BY seq) - 1 AS n FROM chain {where}))
 GROUP BY journal_id"""

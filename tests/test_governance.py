@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 import hmac
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,7 +160,7 @@ def test_erasure(spark):
     assert dict(rows(retention.erasure_trace({"tx": tx, "other": other}, gone))) == {"tx": 2, "other": 0}
     assert retention.pending_erasures(gone).first().pending == 1
     assert retention.pending_erasures(gone.drop("processed_in_model_version")).first().pending == 2
-    assert retention.pending_erasures(None) == 0
+    assert retention.pending_erasures(None).first().pending == 0
 
 
 # -------------------------------------------------------------------- journal
@@ -211,6 +212,45 @@ def test_journal_refuses_personal_data(spark):
     assert text.select(privacy.json_forbidden_keys(F.col("t"))).first()[0] == ["phone"]
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ('{"\\u0065mail": 1}', ["email"]),
+        ('[{"a": [{"a": 1}, {"a": {"ADDRESS": 2}}, 3]}, "x"]', ["address"]),
+        ('{"note": "\\"email\\": x", "x`, phone: ": "email", "mail\\\\": "phone"}', []),
+        ('{"first_name": {"last_name": null}}', ["first_name", "last_name"]),
+        ('"email"', []),
+        ("{broken", None),
+        ('{"a": 1, "a": 2}', None),
+        (None, None),
+    ],
+)
+def test_forbidden_keys_are_read_as_json(spark, text, found):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(privacy.json_forbidden_keys(F.col("t"))).first()[0] == found
+
+
+def test_journal_refuses_personal_details(spark):
+    df = entries(spark).withColumns({"Email": F.lit("x"), "who": F.struct(F.lit(1).alias("customer_id")), "text": F.lit('{"\\u0070hone": 1}'), "bad": F.lit("[1"), "fine": F.lit("{email}: x".replace("{email}", "email"))})
+    for column, message in (("Email", "Email"), ("who", "who.customer_id")):
+        with pytest.raises(privacy.PersonalDataInJournalError, match=message):
+            journal.append(df, ["i"], details=["rows", column])
+    for column, message in (("text", "phone"), ("bad", "unreadable")):
+        with pytest.raises(Exception, match=f"personal data in journal: {message}"):
+            journal.append(df, ["i"], details=[column]).collect()
+    line = json.loads(journal.append(df, ["i"], details=["fine", "rows"], host="h", pid=7).first().line)
+    assert list(line) == ["timestamp", "event", "purpose", "outcome", "host", "pid", "previous_hash", "details"]
+    assert line["host"] == "h" and line["pid"] == 7 and line["details"] == {"fine": "email: x", "rows": "0"}
+    own = json.loads(journal.append(df, ["i"]).first().line)
+    assert own["pid"] == os.getpid() and own["host"] and own["details"] == {}
+
+
+def test_journal_keeps_nulls_and_order(spark):
+    df = spark.createDataFrame([("j", i, None if i % 2 else "é\"\n", "e", "p", "o") for i in (3, 1, 2, 0)], "journal_id string, i int, timestamp string, event string, purpose string, outcome string")
+    lines = [json.loads(r.line) for r in journal.append(df, ["i"], details=["i"]).orderBy("seq").collect()]
+    assert [x["details"]["i"] for x in lines] == ["0", "1", "2", "3"] and [x["timestamp"] for x in lines] == ["é\"\n", None] * 2
+
+
 # ------------------------------------------------------------------ contracts
 
 
@@ -324,6 +364,13 @@ def test_promotion(spark):
     assert decisions.promotion_verdict(first, F.lit("routine")).first().promoted
 
 
+def _history(spark, events):
+    df = spark.createDataFrame([("m", v, at(i), k) for i, (k, v) in enumerate(events)], "model_name string, version string, promoted_at timestamp_ntz, kind string")
+    history = decisions.production_history(df)
+    got = [(r.version, r.promoted_from, r.rollback_to, r.stage) for r in history.orderBy("promoted_at").collect()]
+    return got, [(r.current, r.rollback_to) for r in decisions.rollback_target(history).collect()]
+
+
 def test_production_history(spark):
     e = spark.createDataFrame([("m", "v1", at(0)), ("m", "v2", at(1)), ("m", "v1", at(2))], "model_name string, version string, promoted_at timestamp_ntz")
     history = decisions.production_history(e)
@@ -333,6 +380,62 @@ def test_production_history(spark):
     assert rows(decisions.rollback_target(history)) == [("m", "v1", "v2")]
 
 
+def test_a_rollback_promotes_again_and_does_not_return(spark):
+    up, back = (lambda v: ("promotion", v)), ("rollback", None)
+    got, target = _history(spark, [up("v1"), up("v2"), up("v3"), back])
+    assert got[-1] == ("v2", "v3", "v1", "production") and target == [("v2", "v1")]
+    got, target = _history(spark, [up("v1"), up("v2"), up("v3"), back, back])
+    assert got[-1] == ("v1", "v2", None, "production") and target == [("v1", None)]
+    got, target = _history(spark, [up("v1"), back, up("v2"), back, up("v4")])
+    assert [g[3] for g in got] == ["archived", "refused", "archived", "archived", "production"] and target == [("v4", "v1")]
+    got, target = _history(spark, [up("v1"), up("v2"), up("v3"), up("v4"), ("rollback", "v2")])
+    assert got[-1] == ("v2", "v4", "v1", "production") and target == [("v2", "v1")]
+    assert sum(g[3] == "production" for g in got) == 1
+    got, target = _history(spark, [back])
+    assert got == [(None, None, None, "refused")] and target == []
+
+
+# -------------------------------------------------------------- models of other libraries
+
+
+class Shares:
+    """Counts its own loads in a file beside the payload."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def __setstate__(self, state):
+        self.__dict__ = state
+        with open(self.log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+
+    def predict_proba(self, frame):
+        assert list(frame.columns) == ["a", "b"]
+        p = (frame["a"] + frame["b"]).to_numpy() / 10
+        return [[1 - x, x] for x in p]
+
+
+def test_a_model_of_another_library(spark, tmp_path):
+    data = [(str(i), float(i % 5), None if i % 3 else 1.0) for i in range(300)]
+    df = spark.createDataFrame(data, "customer_id string, a double, b double").repartition(12)
+    log = str(tmp_path / "loads")
+    model = scoring.OutsideModel.of(Shares(log), "x1", ["a", "b"])
+    out = scoring.score_batch(df, model, 0.35, F.lit(at(0).isoformat(sep=" ")).cast("timestamp_ntz"))
+    got = {r.customer_id: (r.churn_proba, r.predicted_churn, r.model_version) for r in out.collect()}
+    assert got == {i: (round((a + (b or 0)) / 10, 4), int((a + (b or 0)) / 10 >= 0.35), "x1") for i, a, b in data}
+    with open(log) as f:
+        loads = f.read().split()
+    assert len(loads) == len(set(loads)) > 0  # once a worker process, whatever the number of tasks
+    with pytest.raises(scoring.ServedSchemaError):
+        scoring.score_batch(df.select("customer_id", "b", "a"), model, 0.5, F.current_timestamp())
+
+
+def test_a_model_too_large_to_send(monkeypatch):
+    monkeypatch.setattr(scoring, "MAX_MODEL_BYTES", 10)
+    with pytest.raises(ValueError, match="too large"):
+        scoring.OutsideModel("x", b"0" * 11, ("a",))
+
+
 def test_cohort_must_be_mature(spark):
     scores = spark.createDataFrame([("a", 0.9, at(0)), ("b", 0.1, at(31))], "customer_id string, churn_proba double, scored_at timestamp_ntz")
     outcomes = spark.createDataFrame([("a", 1), ("b", 0)], "customer_id string, churn int")

@@ -370,3 +370,40 @@ def test_lift_with_fractional_keys_and_missing_scores(spark):
     out = {r.top_percent: r for r in metrics.lift_at(df, (0.34, 0.67)).collect()}
     assert out[34].k == 1 and out[34].precision_at_k == 1.0
     assert out[67].k == 2 and out[67].precision_at_k == 0.5 and out[67].base_rate == pytest.approx(2 / 3, abs=1e-4)
+
+
+def test_training_grows_once_and_keeps_a_prefix(spark, sf, monkeypatch):
+    from queries import common as c
+    from tidemark.plans import training
+
+    grown, fit = [], training._fit
+    monkeypatch.setattr(training, "_fit", lambda names, cfg, train: grown.append(cfg.trees) or fit(names, cfg, train))
+    table, dates = c.features(spark, sf, "all"), c.dates(spark, sf)
+    run = training.train_model(table, training.TrainingConfig(trees=6, max_depth=2, patience=1), dates=dates)
+    kept = run.model.stages[-1].getNumTrees
+    assert grown == [6] and 1 <= kept <= 6
+    shorter = training.train_model(table, training.TrainingConfig(trees=kept, max_depth=2, patience=99), dates=dates)
+    key = lambda t: sorted(map(tuple, t.select("customer_id", "snapshot_date", "churn_proba").collect()))
+    assert key(run.scored) == key(shorter.scored)
+    r = run.record.first()
+    assert r.best_iteration == kept - 1 and r.tuning == "tuned" and r.decision_threshold == run.threshold
+    quality = {q.split: q for q in run.metrics.collect()}
+    assert quality["test"].overfitting_gap_f1 == round(quality["train"].f1 - quality["test"].f1, 4)
+    part = run.scored.where("split = 'test'").toPandas().sort_values(["churn_proba", "customer_id"], ascending=[False, True])
+    k = max(1, int(len(part) * 0.1))
+    assert quality["test"].precision_at_10 == pytest.approx(part["churn"][:k].mean(), abs=0.15)  # ties by hash of the key
+    assert quality["test"].lift_at_10 == pytest.approx(quality["test"].precision_at_10 / part["churn"].mean(), abs=1e-3)
+
+
+def test_monitoring_of_two_versions_without_requests(spark, sf):
+    from queries import common as c
+    from tidemark.plans import feature_build, monitoring
+
+    table = c.features(spark, sf, "ends").persist()
+    reference, current = feature_build.reference_and_current(table)
+    score = lambda df, m: c.scoring.score_batch(df, m, 0.6, F.col("snapshot_date"), keep=["churn"])
+    cohort = score(current, c.V1).unionByName(score(current, c.V2))
+    report = monitoring.monitoring_report(reference, current, score(reference, c.V1), score(current, c.V1), cohort, 10, 0.5, 0.6, None).collect()
+    assert sorted(r.model_version for r in report) == ["v0001", "v0002"] and {r.erasure_requests for r in report} == {0}
+    assert len({r.psi_max for r in report}) == 1 and len({r.f1 for r in report}) == 2
+    table.unpersist()

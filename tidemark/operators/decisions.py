@@ -108,23 +108,50 @@ def promotion_verdict(comparison: DataFrame, priority, min_gain: float = 0.0) ->
 
 
 def production_history(events: DataFrame, key: Sequence[str] = ("model_name",)) -> DataFrame:
-    """Replay of promotion events (key, version, promoted_at).
+    """Replay of promotion events (key, version, promoted_at, and ``kind`` if there are rollbacks).
 
-    The last event is in production, the version before it is where a rollback
-    goes. Promotions are a handful per model, so the window stays small.
+    A ``rollback`` without a version re-promotes the version that was in production before, one with a version
+    that version; either way the version just left is no target of the next one. A rollback with nothing to go
+    back to is refused. One row an event: what it put in production, what was there (``promoted_from``), where a
+    rollback would then go (``rollback_to``), and its stage. The events of one model are folded in
+    order in one group: they are a handful.
     """
-    order = Window.partitionBy(*key).orderBy("promoted_at", "version")
-    latest = F.lead("version").over(order).isNull()
-    return events.select(
-        *key,
-        "version",
-        "promoted_at",
-        F.lag("version").over(order).alias("promoted_from"),
-        F.when(latest, "production").otherwise("archived").alias("stage"),
-    )
+    kind = F.col("kind") if "kind" in events.columns else F.lit("promotion")
+    event = F.struct(F.col("promoted_at").alias("at"), kind.alias("kind"), F.col("version").cast("string").alias("version"))
+    text, texts = F.lit(None).cast("string"), F.array().cast("array<string>")
+    logged = f"array<struct<version:string,promoted_at:{dict(events.dtypes)['promoted_at']},promoted_by:string,promoted_from:string,rollback_to:string,refused:boolean>>"
+    start = F.struct(text.alias("current"), texts.alias("before"), F.lit(-1).alias("last"), F.array().cast(logged).alias("log"))
+
+    def step(s: Column, e: Column) -> Column:
+        back = e["kind"] == "rollback"
+        before = s["before"]
+        to = F.when(back, F.coalesce(e["version"], F.get(before, F.size(before) - 1))).otherwise(e["version"])
+        place = F.coalesce(F.array_position(before, to), F.lit(0)).cast("int")
+        popped = F.when(place > 0, F.slice(before, F.lit(1), place - 1)).otherwise(before)
+        unnamed = F.slice(before, F.lit(1), F.greatest(F.size(before) - 1, F.lit(0)))
+        pushed = F.when(s["current"].isNull(), before).otherwise(F.array_append(before, s["current"]))
+        stack = F.when(to.isNull(), before).when(back & e["version"].isNull(), unnamed).when(back, popped).otherwise(pushed)
+        entry = F.struct(
+            to.alias("version"),
+            e["at"].alias("promoted_at"),
+            e["kind"].alias("promoted_by"),
+            s["current"].alias("promoted_from"),
+            F.get(stack, F.size(stack) - 1).alias("rollback_to"),
+            to.isNull().alias("refused"),
+        )
+        return F.struct(
+            F.coalesce(to, s["current"]).alias("current"),
+            stack.alias("before"),
+            F.when(to.isNull(), s["last"]).otherwise(F.size(s["log"])).alias("last"),
+            F.array_append(s["log"], entry).alias("log"),
+        )
+
+    folded = events.groupBy(*key).agg(F.aggregate(F.array_sort(F.collect_list(event)), start, step).alias("s"))
+    rows = folded.select(*key, F.col("s.last").alias("last"), F.posexplode("s.log").alias("i", "e"))
+    stage = F.when(F.col("e.refused"), "refused").when(F.col("i") == F.col("last"), "production").otherwise("archived")
+    shown = ("version", "promoted_at", "promoted_by", "promoted_from", "rollback_to")
+    return rows.select(*key, *[F.col(f"e.{c}").alias(c) for c in shown], stage.alias("stage"))
 
 
 def rollback_target(history: DataFrame, key: Sequence[str] = ("model_name",)) -> DataFrame:
-    return history.filter(F.col("stage") == "production").select(
-        *key, F.col("version").alias("current"), F.col("promoted_from").alias("rollback_to")
-    )
+    return history.filter(F.col("stage") == "production").select(*key, F.col("version").alias("current"), "rollback_to")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import json
+import os
+import socket
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
+from tidemark.operators.privacy import PersonalDataInJournalError, checked_text, forbidden_schema_keys
 from tidemark.schemas import JOURNAL_ENTRY, JOURNAL_SEED
 from tidemark.session import materialize
 
@@ -22,54 +25,67 @@ def append(
     fields: Sequence[str] = ("timestamp", "event", "purpose", "outcome"),
     details: Sequence[str] = (),
     heads: DataFrame | None = None,
+    host: str | None = None,
+    pid: int | None = None,
 ) -> DataFrame:
     """Chain a batch of entries to the end of their journals.
 
     Every line holds the SHA-256 of the line before it, so one journal can only
-    be written in order. Spark brings each journal's entries together sorted and
-    a small fold streams through them, holding nothing but the last digest; the
-    work is parallel over journals, and a long journal needs no more memory
-    than a short one. ``heads`` (journal_id, seq, line) gives the last
+    be written in order. Spark builds all of a line but that digest, in parallel; then it brings each
+    journal's lines together sorted, and a small fold streams through them that puts the
+    digests in and holds nothing but the last one. ``heads`` (journal_id, seq, line) gives the last
     line of journals that already exist.
+
+    ``details`` may be of any type; a column of JSON text is written as text. A forbidden key among them, at
+    any depth and inside JSON text too, refuses the batch. ``host`` and ``pid`` are those of the
+    process that writes, unless given.
     """
     jid = dict(entries.dtypes)["journal_id"]
-    wanted = ["journal_id", *dict.fromkeys([*order_by, *fields, *details])]
-    texts = {c: F.col(c).cast("string") for c in [*fields, *details]}
-    shown = {f"_f_{c}": v for c, v in texts.items()}
-    batch = entries.select(*wanted).withColumns(shown).select(
-        "*", F.lit(None).cast("bigint").alias("_seq"), F.lit(None).cast("string").alias("_line")
+    extra = entries.select(*details)
+    found = forbidden_schema_keys(extra.schema)
+    if found:
+        raise PersonalDataInJournalError(f"forbidden keys in details: {found}")
+    payload = {d: checked_text(F.col(d)) if t == "string" else F.col(d) for d, t in extra.dtypes}
+    written = {"ignoreNullFields": "false"}
+    origin = [F.lit(host or socket.gethostname()).alias("host"), F.lit(os.getpid() if pid is None else pid).cast("bigint").alias("pid")]
+    head = F.to_json(F.struct(*[F.col(f).cast("string").alias(f) for f in fields], *origin), written)
+    values = [v.cast("string").alias(d) if not _is_nested(extra, d) else v.alias(d) for d, v in payload.items()]
+    tail = F.to_json(F.struct(*values), written) if values else F.lit("{}")
+    batch = entries.select(
+        "journal_id",
+        F.struct(*order_by).alias("_order"),
+        F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"previous_hash":"')).alias("_head"),
+        F.concat(F.lit('","details":'), tail, F.lit("}")).alias("_tail"),
+        F.lit(None).cast("bigint").alias("_seq"),
     )
     if heads is not None:
-        last = heads.select("journal_id", F.col("seq").alias("_seq"), F.col("line").alias("_line")).join(
-            entries.select("journal_id").distinct(), "journal_id", "left_semi"
-        )
-        batch = batch.unionByName(last, allowMissingColumns=True)
-    names, extra = list(fields), list(details)
+        known = heads.select("journal_id", "seq", F.sha2("line", 256).alias("_digest"))
+        last = known.join(entries.select("journal_id").distinct(), "journal_id", "left_semi")
+        batch = batch.unionByName(last.select("journal_id", F.col("_digest").alias("_head"), F.col("seq").alias("_seq")), allowMissingColumns=True)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         journal, seq, digest = None, 0, JOURNAL_SEED
         for pdf in batches:
             ids, seqs, lines = [], [], []
-            for row in pdf.to_dict("records"):
-                if row["journal_id"] != journal:
-                    journal, seq, digest = row["journal_id"], 0, JOURNAL_SEED
-                if isinstance(row["_line"], str):
-                    seq, digest = int(row["_seq"]) + 1, hashlib.sha256(row["_line"].encode()).hexdigest()
+            for id_, head, tail, last in zip(pdf["journal_id"], pdf["_head"], pdf["_tail"], pdf["_seq"]):
+                if id_ != journal:
+                    journal, seq, digest = id_, 0, JOURNAL_SEED
+                if tail is None:  # the head of a journal that exists: its digest and number
+                    seq, digest = int(last) + 1, head
                     continue
-                entry = {f: row[f"_f_{f}"] for f in names}
-                entry["previous_hash"] = digest
-                entry["details"] = {d: row[f"_f_{d}"] for d in extra}
-                line = json.dumps(entry, ensure_ascii=False)
+                line = f"{head}{digest}{tail}"
                 ids.append(journal)
                 seqs.append(seq)
                 lines.append(line)
                 seq, digest = seq + 1, hashlib.sha256(line.encode()).hexdigest()
             yield pd.DataFrame({"journal_id": ids, "seq": seqs, "line": lines})
 
-    in_order = batch.repartition("journal_id").sortWithinPartitions(
-        "journal_id", F.col("_line").isNull(), *order_by
-    )
-    return in_order.mapInPandas(fold, CHAINED.format(id=jid))
+    in_order = batch.repartition("journal_id").sortWithinPartitions("journal_id", F.col("_tail").isNotNull(), "_order")
+    return in_order.select("journal_id", "_head", "_tail", "_seq").mapInPandas(fold, CHAINED.format(id=jid))
+
+
+def _is_nested(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (ArrayType, MapType, StructType))
 
 
 def verify(lines: DataFrame) -> DataFrame:

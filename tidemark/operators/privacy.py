@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
@@ -125,10 +125,23 @@ def assert_no_personal_data(df: DataFrame, column: str = "details") -> DataFrame
     return df
 
 
-def json_forbidden_keys(text):
-    """Forbidden keys of a JSON text, at any depth, as a sorted array.
+def json_forbidden_keys(text: Column) -> Column:
+    """Forbidden keys of a JSON text, at any depth, as a sorted array; null if it is no JSON or repeats a key.
 
-    A quoted token followed by a colon is a key, wherever it is nested.
+    The text is read as a VARIANT and written again, which undoes escapes; in that form quotes only ever
+    open and close strings, so its strings can be read off one after the other, and those before a colon are the
+    keys.
     """
-    keys = F.transform(F.regexp_extract_all(text, F.lit(r'"((?:[^"\\\\]|\\\\.)*)"\s*:')), F.lower)
+    plain = F.to_json(F.try_parse_json(text))
+    strings = F.regexp_extract_all(plain, F.lit(r'("(?:[^"\\]|\\.)*+":?)'), F.lit(1))
+    keys = F.transform(F.filter(strings, lambda x: x.endswith(":")), lambda x: F.lower(x.substr(F.lit(2), F.length(x) - 3)))
     return F.array_sort(F.array_intersect(F.array_distinct(keys), F.lit(list(JOURNAL_FORBIDDEN_KEYS))))
+
+
+def checked_text(text: Column) -> Column:
+    """A text as it is; one that is a JSON object or array with a forbidden key, or that looks like one and can't be read, fails the job."""
+    looks = text.rlike(r"^\s*[\[{]")
+    keys = json_forbidden_keys(text)
+    refused = looks & (keys.isNull() | (F.size(keys) > 0))
+    message = F.concat(F.lit("personal data in journal: "), F.when(keys.isNull(), "unreadable").otherwise(F.concat_ws(",", keys)))
+    return F.when(refused, F.raise_error(message)).otherwise(text)

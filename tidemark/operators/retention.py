@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import naive_utc
@@ -71,12 +71,16 @@ def erasure_trace(
     return out
 
 
-def pending_erasures(requests: DataFrame | None, column: str = "processed_in_model_version") -> int | DataFrame:
-    """Requests no model version has taken into account yet.
+def pending_erasures(
+    requests: DataFrame | None, column: str = "processed_in_model_version", spark: SparkSession | None = None
+) -> DataFrame:
+    """One row, ``pending``: requests no model version has taken into account yet.
 
-    Without the column all of them are pending; without a table there are none.
+    Without the column all of them are pending; without a table there are none. An empty text counts as
+    no version, as in a file with an empty field.
     """
     if requests is None:
-        return 0
-    pending = F.col(column).isNull() if column in requests.columns else F.lit(True)
+        spark = spark or SparkSession.getActiveSession()
+        return spark.range(1).select(F.lit(0).cast("bigint").alias("pending"))
+    pending = F.coalesce(F.trim(F.col(column).cast("string")), F.lit("")) == "" if column in requests.columns else F.lit(True)
     return requests.agg(F.count_if(pending).alias("pending"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+import pickle
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -58,6 +63,60 @@ LINEAR_V2 = LinearScorer(
 )
 
 
+#: Largest model that is sent to every worker.
+MAX_MODEL_BYTES = 512 << 20
+
+
+@dataclass(frozen=True)
+class OutsideModel:
+    """A fitted model of another library, as bytes.
+
+    ``load`` makes of the bytes an object with ``predict_proba(frame)``, which gets the named features in order,
+    missing ones as 0, and returns one column a class; the last is the probability of leaving. The bytes are broadcast
+    once, and each Python worker loads them once.
+    """
+
+    version: str
+    payload: bytes
+    features: tuple[str, ...]
+    load: Callable[[bytes], object] = pickle.loads
+
+    def __post_init__(self) -> None:
+        if len(self.payload) > MAX_MODEL_BYTES:
+            raise ValueError(f"a model of {len(self.payload)} bytes is too large to send to every worker (limit {MAX_MODEL_BYTES})")
+
+    @classmethod
+    def of(cls, model: object, version: str, features: Sequence[str]) -> OutsideModel:
+        """Of an object that can be pickled, its class with it where workers can't import that."""
+        return cls(version, cloudpickle.dumps(model), tuple(features))
+
+    def probability(self, df: DataFrame) -> Column:
+        check_served_schema(df, self.features)
+        sent = df.sparkSession.sparkContext.broadcast(self.payload)
+        digest, load, names = hashlib.sha256(self.payload).hexdigest(), self.load, list(self.features)
+
+        @F.pandas_udf("double")
+        def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            model = _loaded(digest, load, sent)
+            for frame in frames:
+                frame.columns = names
+                yield pd.Series(np.asarray(model.predict_proba(frame))[:, -1].astype(float))
+
+        served = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names]
+        return predict(F.struct(*served))
+
+
+_MODELS: dict[str, object] = {}
+
+
+def _loaded(digest: str, load: Callable[[bytes], object], sent) -> object:
+    """The model of a worker process: the last one only, so that workers do not fill up."""
+    if digest not in _MODELS:
+        _MODELS.clear()
+        _MODELS[digest] = load(sent.value)
+    return _MODELS[digest]
+
+
 class ServedSchemaError(ValueError):
     """The served features are not those of training, in the same order."""
 
@@ -94,13 +153,14 @@ def legacy_risk_level(proba: Column, high: float = 0.7, medium: float = 0.4) ->
     return F.when(proba > high, "high").when(proba > medium, "medium").otherwise("low")
 
 
-def positive_probability(df: DataFrame, model: LinearScorer | Transformer | Column) -> DataFrame:
+def positive_probability(df: DataFrame, model: LinearScorer | OutsideModel | Transformer | Column) -> DataFrame:
     """Add ``_p``, the probability of leaving.
 
-    Any fitted Spark ML classifier, a linear scorer or a plain column will do; a
-    model living outside Spark can be plugged in with ``mapInPandas`` upstream
-    and passed as a column.
+    Any fitted Spark ML classifier, a linear scorer, a model of another library (``OutsideModel``) or a
+    plain column will do.
     """
+    if isinstance(model, OutsideModel):
+        return df.withColumn("_p", model.probability(df))
     if isinstance(model, LinearScorer):
         return df.withColumn("_p", model.probability())
     if isinstance(model, Column):
@@ -111,7 +171,7 @@ def positive_probability(df: DataFrame, model: LinearScorer | Transformer | Colu
 
 def score_batch(
     features: DataFrame,
-    model: LinearScorer | Transformer | Column,
+    model: LinearScorer | OutsideModel | Transformer | Column,
     threshold: float,
     scored_at: Column,
     model_version: str | None = None,

@@ -49,13 +49,13 @@ def monitoring_report(
     model_age_days: int,
     baseline_f1: float,
     threshold: float,
-    erasures: DataFrame,
+    erasures: DataFrame | None,
     features: Sequence[str] = MODEL_FEATURES,
     policy: RetrainingPolicy = RetrainingPolicy(),
 ) -> DataFrame:
     """Signals of the three sensors joined on the model, and the decision on them.
 
-    The pieces are one-row aggregates of one model version, put side by side.
+    One row for each model version of the cohort; what does not depend on the model is the same on all.
     """
     by_feature = drift.feature_drift(reference, current, features)
     data = drift.drift_summary(by_feature)
@@ -65,12 +65,13 @@ def monitoring_report(
     performance = metrics.evaluate(cohort, ["model_version"], threshold, baseline_f1)
     pending = retention.pending_erasures(erasures)
 
-    signals = side_by_side(
-        performance.select("model_version", "rows", "f1", F.col("f1_delta").alias("performance_delta")),
-        data,
-        predictions,
-        pending.select(F.col("pending").alias("erasure_requests")),
-    ).withColumn("model_age_days", F.lit(model_age_days))
+    shared = side_by_side(data, predictions, pending.select(F.col("pending").alias("erasure_requests")))
+    values = shared.first().asDict()
+    signals = (
+        performance.select("model_version", "rows", "f1", F.col("f1_delta").alias("performance_delta"))
+        .withColumns({c: F.lit(values[c]).cast(t) for c, t in shared.dtypes})
+        .withColumn("model_age_days", F.lit(model_age_days))
+    )
     return retraining_decision(signals, policy)
 
 
@@ -80,7 +81,7 @@ def as_document(report: DataFrame) -> DataFrame:
 
 
 def compliance_checks(
-    journal: DataFrame, registry: DataFrame, requests: DataFrame, as_of: dt.datetime
+    journal: DataFrame, registry: DataFrame, requests: DataFrame | None, as_of: dt.datetime
 ) -> DataFrame:
     """Journal state, pending erasures and consent figures as (check, value) rows."""
     checked = verify(journal).agg(
