@@ -198,12 +198,40 @@ def test_leak_guard_fails_on_a_negative_age(spark):
     assert contracts.with_leak_guard(good).count() == 1
 
 
+@pytest.mark.parametrize("outcome, past", [(True, None), (False, 10), (True, 0)])
+def test_expansion_equals_comparing_every_pair(spark, outcome, past):
+    cfg = snap.SnapshotConfig(outcome_days=5, activity_days=20, short_days=3, long_days=25)
+    dates = [at(d) for d in (0, 1, 2, 40, 41, 90, 400)]
+    base = 2 * snap.grid_point(dates[0])
+    df = spark.createDataFrame([(base + i,) for i in range(-90, 900)], "pos bigint")
+    got = {(r.pos, r.snapshot_date): tuple(r)[2:] for r in snap.with_snapshots(df, dates, cfg, past, outcome).collect()}
+    back = 25 if past is None else past
+    want = {}
+    for i in range(-90, 900):
+        p = base + i
+        for d in dates:
+            g = 2 * snap.grid_point(d)
+            if g - 2 * back <= p <= g + 2 * (5 if outcome else 0):
+                want[p, d] = (p <= g, p <= g and p >= g - 6, p <= g and p >= g - 50, p <= g and p > g - 40, p > g)
+    assert got == want
+
+
+def test_ten_thousand_dates_need_no_join(spark):
+    dates = [at(d) for d in range(10_000)]
+    tx = _tx(spark, [("a", at(5), 1.0, "x"), ("a", at(9_990), 1.0, "x")])
+    cfg = snap.SnapshotConfig(outcome_days=2, activity_days=3)
+    labels = snap.churn_labels(tx, dates, cfg)
+    plan = labels._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted((r.snapshot_date, r.churn) for r in labels.collect()) == [(at(d), 1) for d in (5, 6, 7, 9990, 9991, 9992)]
+
+
 def test_plan_has_two_shuffles_and_no_nested_loop(spark, sf):
     from queries import common as c
 
     plan = c.features(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" not in plan
+    assert "Join" not in plan and "Cartesian" not in plan
     assert "PushedFilters: [LessThanOrEqual(o_orderdate" in plan
 
 

@@ -13,9 +13,9 @@ from tidemark.operators.snapshots import (
     SnapshotConfig,
     _stack,
     by_time_of_day,
-    calendar,
     grid_position,
     horizon,
+    with_snapshots,
 )
 
 #: Optional 0/1 inputs; the feature they feed exists only when the column does.
@@ -102,7 +102,7 @@ def _windowed(column: str, flag: str) -> Column:
 
 
 def _per_snapshot(expanded: DataFrame) -> DataFrame:
-    """Fold calendar-expanded cells to one row per (customer, snapshot)."""
+    """Fold expanded cells to one row per (customer, snapshot)."""
     past = F.col("past")
 
     def latest(column: str) -> Column:
@@ -193,17 +193,16 @@ def snapshot_dataset(
 ) -> DataFrame:
     """Features and label of the active population at every date, in one plan.
 
-    Two shuffles and no join but the calendar's: cells on (customer, position,
+    Two shuffles and no join: cells on (customer, position,
     category), then customer. The second one also serves the running window and
     the (customer, snapshot) grouping.
     """
     if not dates:
         raise ValueError("at least one snapshot date is needed")
-    spark = tx.sparkSession
     parts = []
     for group in by_time_of_day(dates):
         running = with_running_state(cells(tx.filter(horizon(group, cfg)), group[0], cfg))
-        folded = _per_snapshot(running.join(calendar(spark, group, cfg), "pos")).filter("eligible")
+        folded = _per_snapshot(with_snapshots(running, group, cfg)).filter("eligible")
         parts.append(
             _feature_columns(
                 folded,

@@ -9,8 +9,8 @@ and ``k + 1``. Closed and half-open window ends become integer comparisons.
 Two things follow. A customer has at most two positions per calendar day, so
 whatever a customer's number of orders is, their history after one partial
 aggregation is bounded by the calendar. And the range join "orders near a
-snapshot" becomes an equi-join with a calendar table of
-``snapshots x window days`` rows whose size is known before it is built.
+snapshot" becomes an expansion in place: the snapshots that reach a position are a
+run of the sorted dates, looked up in a literal table (``with_snapshots``).
 """
 
 from __future__ import annotations
@@ -23,9 +23,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Above this many rows the calendar is joined without a broadcast hint.
-CALENDAR_BROADCAST_ROWS = 2_000_000
-
 
 @dataclass(frozen=True)
 class SnapshotConfig:
@@ -118,33 +115,50 @@ def by_time_of_day(dates: Iterable[dt.datetime]) -> list[list[dt.datetime]]:
     return list(groups.values())
 
 
-def calendar(spark: SparkSession, dates: list[dt.datetime], cfg: SnapshotConfig) -> DataFrame:
-    """Every (grid position, snapshot) pair whose windows meet, with window flags.
+def with_snapshots(
+    df: DataFrame, dates: list[dt.datetime], cfg: SnapshotConfig, past_days: int | None = None, outcome: bool = True
+) -> DataFrame:
+    """Every row of ``df`` (with a grid position ``pos``) once for each snapshot whose windows reach it, with window flags.
 
-    One row per snapshot and reachable position: about
-    ``2 * (look-back + outcome)`` rows per snapshot, whatever the data holds.
+    The snapshots that reach a position stand next to each other in the sorted dates. Where they begin and end
+    is read from a table of counts by grid point, a literal, so the expansion is an ``explode`` of a slice
+    of another literal: no join, no exchange, and no limit on the number of dates. A row has as many copies as
+    windows of ``past_days`` (the longest look-back unless given) and of the outcome overlap there.
     """
-    look_back = max(cfg.activity_days, cfg.long_days, cfg.short_days)
-    per_snapshot = 2 * (look_back + cfg.outcome_days) + 1
-    points = spark.createDataFrame(
-        [(d, 2 * grid_point(d)) for d in dates], "snapshot_date timestamp_ntz, at bigint"
-    )
-    pos, at = F.col("pos"), F.col("at")
+    points = sorted(grid_point(d) for d in dates)
+    back = max(cfg.activity_days, cfg.long_days, cfg.short_days) if past_days is None else past_days
+    ahead = cfg.outcome_days if outcome else 0
+    first, last = points[0], points[-1] + 1
+    counts, seen = [], 0
+    for k in range(first, last + 1):  # points before grid point k
+        while seen < len(points) and points[seen] < k:
+            seen += 1
+        counts.append(seen)
+    pos = F.col("pos")
+    # One literal each, whatever its length; the optimiser folds the conversion.
+    table, axis = (F.split(F.lit(",".join(map(str, xs))), ",").cast("array<int>") for xs in (counts, points))
+
+    def before(position: Column) -> Column:
+        """How many snapshots have a position below this one."""
+        k = F.floor((position + 1) / 2)
+        return F.get(table, (F.least(F.greatest(k, F.lit(first)), F.lit(last)) - first).cast("int"))
+
+    start, end = before(pos - 2 * ahead), before(pos + 2 * back + 1)
+    expanded = df.withColumns({"_from": start, "_to": end}).where(F.col("_to") > F.col("_from"))
+    point = F.explode(F.slice(axis, F.col("_from") + 1, F.col("_to") - F.col("_from")))
+    expanded = expanded.withColumn("_point", point).drop("_from", "_to")
+    at = F.col("_point").cast("bigint") * 2
     past = pos <= at
-    frame = points.withColumn(
-        "pos", F.explode(F.sequence(at - 2 * look_back, at + 2 * cfg.outcome_days))
-    ).select(
-        "pos",
-        "snapshot_date",
-        past.alias("past"),
-        (past & (pos >= at - 2 * cfg.short_days)).alias("in_short"),
-        (past & (pos >= at - 2 * cfg.long_days)).alias("in_long"),
-        (past & (pos > at - 2 * cfg.activity_days)).alias("in_activity"),
-        (pos > at).alias("in_outcome"),
-    )
-    if len(dates) * per_snapshot <= CALENDAR_BROADCAST_ROWS:
-        frame = F.broadcast(frame)
-    return frame
+    return expanded.withColumns(
+        {
+            "snapshot_date": _origin_literal(dates[0]) + F.make_dt_interval(F.col("_point")),
+            "past": past,
+            "in_short": past & (pos >= at - 2 * cfg.short_days),
+            "in_long": past & (pos >= at - 2 * cfg.long_days),
+            "in_activity": past & (pos > at - 2 * cfg.activity_days),
+            "in_outcome": pos > at,
+        }
+    ).drop("_point")
 
 
 def horizon(dates: list[dt.datetime], cfg: SnapshotConfig) -> Column:
@@ -169,10 +183,9 @@ def eligible_population(
     tx: DataFrame, dates: list[dt.datetime], cfg: SnapshotConfig = SnapshotConfig()
 ) -> DataFrame:
     """(customer, snapshot) with an order in ``(t - activity, t]``."""
-    spark = tx.sparkSession
     parts = [
-        positions(tx, group, cfg)
-        .join(calendar(spark, group, cfg).filter("in_activity"), "pos")
+        with_snapshots(positions(tx, group, cfg), group, cfg, cfg.activity_days, outcome=False)
+        .filter("in_activity")
         .select("customer_id", "snapshot_date")
         .distinct()
         for group in by_time_of_day(dates)
@@ -184,10 +197,9 @@ def returned_customers(
     tx: DataFrame, dates: list[dt.datetime], cfg: SnapshotConfig = SnapshotConfig()
 ) -> DataFrame:
     """(customer, snapshot) with an order in ``(t, t + outcome]``."""
-    spark = tx.sparkSession
     parts = [
-        positions(tx, group, cfg)
-        .join(calendar(spark, group, cfg).filter("in_outcome"), "pos")
+        with_snapshots(positions(tx, group, cfg), group, cfg, 0)
+        .filter("in_outcome")
         .select("customer_id", "snapshot_date")
         .distinct()
         for group in by_time_of_day(dates)
@@ -200,13 +212,11 @@ def churn_labels(
 ) -> DataFrame:
     """Label of the eligible population: 1 when no order follows in the outcome window.
 
-    Population and outcome are two flags of the same calendar row, so one
+    Population and outcome are two flags of the same expanded row, so one
     grouping replaces the semi-join and the anti-join.
     """
-    spark = tx.sparkSession
     parts = [
-        positions(tx, group, cfg)
-        .join(calendar(spark, group, cfg), "pos")
+        with_snapshots(positions(tx, group, cfg), group, cfg, cfg.activity_days)
         .groupBy("customer_id", "snapshot_date")
         .agg(
             F.max("in_activity").alias("eligible"),
@@ -230,7 +240,6 @@ def snapshot_orders(
     """
     from tidemark.functions.numeric import from_units, to_units
 
-    spark = tx.sparkSession
     parts = []
     for group in by_time_of_day(dates):
         cells = (
@@ -242,7 +251,8 @@ def snapshot_orders(
             )
         )
         parts.append(
-            cells.join(calendar(spark, group, cfg).filter("in_activity"), "pos")
+            with_snapshots(cells, group, cfg, cfg.activity_days, outcome=False)
+            .filter("in_activity")
             .groupBy("customer_id", "snapshot_date")
             .agg(
                 F.sum("n").alias("orders_in_window"),
