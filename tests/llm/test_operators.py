@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -343,23 +344,34 @@ def test_longest_previous_factor_against_brute_force():
 
 def test_token_counts_are_greedy_longest_match(odd, docs, none):
     path = tokenizer_path("word_bpe_49k.json")
-    vocabulary = set(wordpiece.read_vocabulary(path))
-    most = max(map(len, vocabulary))
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    letters = wordpiece.byte_letters()
+    ends, inner = set(), set()
+    for token in set(told["model"]["vocab"]) - {t["content"] for t in told["added_tokens"]} - {"</w>"}:
+        is_end = token.endswith("</w>")
+        (ends if is_end else inner).add(bytes(letters[c] for c in (token[:-4] if is_end else token)))
+    most = max(map(len, ends | inner))
+    assert ends and inner
 
     def greedy(word):
+        """Longest piece first: up to the end only with a word-final token, short of it only with another."""
         n, at = 0, 0
         while at < len(word):
-            end = next(e for e in range(min(len(word), at + most), at, -1) if word[at:e] in vocabulary)
+            end = next(e for e in range(min(len(word), at + most), at, -1) if word[at:e] in (ends if e == len(word) else inner))
             at, n = end, n + 1
         return n
 
-    for df in (odd, docs.limit(60)):
+    for df in (odd, docs):
         for r, (_, t) in zip(wordpiece.token_counts(df, path).collect(), pairs(df)):
             words = (t or "").encode().lower().split()
             assert (r["n_words"], r["n_tokens"], r["n_unknown"]) == (len(words), sum(map(greedy, words)), 0)
     assert wordpiece.token_counts(none, path).count() == 0
-    small = wordpiece.LongestMatch([b"a", b"ab", b"abcd", b"c", b"cx"])
+    plain = [b"a", b"ab", b"abcd", b"c", b"cx"]
+    small = wordpiece.LongestMatch([*plain, *map(wordpiece.final, plain)])
     assert [small.count(w) for w in (b"abcd", b"abc", b"abcx", b"abcdab", b"d", b"abd")] == [1, 2, 2, 2, 0, 0]
+    marked = wordpiece.LongestMatch([b"a", b"b", b"ab", wordpiece.final(b"b"), wordpiece.final(b"aab")])
+    assert [marked.count(w) for w in (b"ab", b"aab", b"bab", b"a", b"abb", b"aabb")] == [2, 1, 3, 0, 2, 3]
 
 
 SECRET_TEXT = 'é api_key = "abcdefghijkl" TOKEN: short AKIAABCDEFGHIJKLMN 0123456789abcdef password=a1b2c3d4e5f6g7h8'

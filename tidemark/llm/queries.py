@@ -25,8 +25,7 @@ SHARD_NAMES = [f"shard-{i:03d}" for i in range(sharding.SHARDS)]
 
 
 def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
-    return sharding.place(docs, "doc_id", SHARD_NAMES).select("doc_id", "source", "n_chars", "slot", "shard")
+    return sharding.place(table(spark, sf, "documents"), "doc_id", SHARD_NAMES)
 
 
 def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +104,7 @@ fill AS (
                  list_filter(range({sharding.SLOTS}), lambda j: free[(offs[step % {sharding.SHARDS} + 1] + j * skips[step % {sharding.SHARDS} + 1]) % {sharding.SLOTS} + 1])[1]) % {sharding.SLOTS} AS s
         FROM fill, lists WHERE step < {sharding.SLOTS})),
 owned AS (SELECT slot, shard FROM fill JOIN shards ON i = (step - 1) % {sharding.SHARDS} WHERE slot >= 0)
-SELECT doc_id, source, n_chars, slot, shard
+SELECT doc_id, text, lang, source, n_chars, slot, shard
 FROM (SELECT *, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) % {sharding.SLOTS} AS slot FROM documents)
 JOIN owned USING (slot)
 """

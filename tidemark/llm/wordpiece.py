@@ -1,7 +1,8 @@
 """Greedy longest-match token counts in one pass over each word, without building pieces.
 
-The vocabulary is a trie over bytes (marks for the end of a word are taken off). A node that is a token fails to
-the root and pops one token; another node fails to where the rest of its text leads after
+The vocabulary is a trie over bytes. The end mark of a token stays with its last byte: the last byte of a word and that of
+a word-final token are symbols of their own (256 more), so such a token matches only at the end of a word and another
+one only before it. A node that is a token fails to the root and pops one token; another node fails to where the rest of its text leads after
 its greedy tokens are taken off, and pops as many. Reading a word follows the trie, and adds
 up the counts of the failure links taken: linear in the word, whatever the tokens are.
 """
@@ -9,11 +10,13 @@ up the counts of the failure links taken: linear in the word, whatever the token
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+#: What is added to the last byte of a word, and the bits of a symbol.
+LAST, BITS = 256, 9
 #: Words whose counts a Python worker remembers; beyond it the memory starts anew.
 CACHE_WORDS = 1_000_000
 
@@ -25,14 +28,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def read_vocabulary(path: str, end: str = "</w>") -> list[bytes]:
-    """Tokens of a byte-level vocabulary file as bytes, without end marks; special tokens are left out."""
+def read_vocabulary(path: str, end: str = "</w>") -> list[tuple[int, ...]]:
+    """Tokens of a byte-level vocabulary file as symbols; special tokens are left out.
+
+    A file without end marks has no word-final tokens: then every token matches anywhere.
+    """
     with open(path, encoding="utf-8") as f:
         told = json.load(f)
     special = {t["content"] for t in told.get("added_tokens", [])}
     letter = byte_letters()
-    bodies = {token.removesuffix(end) for token in told["model"]["vocab"] if token not in special}
-    return sorted(bytes(letter[c] for c in body) for body in bodies if body)
+    tokens = [t for t in told["model"]["vocab"] if t not in special and t != end]
+    marked = any(t.endswith(end) for t in tokens)
+    out = set()
+    for token in tokens:
+        body = tuple(letter[c] for c in token.removesuffix(end))
+        if token.endswith(end) or not marked:
+            out.add(final(body))
+        if not token.endswith(end):
+            out.add(body)
+    return sorted(out)
+
+
+def final(symbols: Sequence[int]) -> tuple[int, ...]:
+    """Symbols with the last one marked as the end of a word."""
+    return (*symbols[:-1], symbols[-1] + LAST)
 
 
 class LongestMatch:
@@ -40,16 +59,16 @@ class LongestMatch:
 
     _loaded: dict[str, LongestMatch] = {}
 
-    def __init__(self, tokens: list[bytes]):
+    def __init__(self, tokens: Iterable[Sequence[int]]):
         go: dict[int, int] = {}
         children: list[list[tuple[int, int]]] = [[]]
         whole = [False]
         for token in tokens:
             at = 0
             for symbol in token:
-                to = go.get(at << 8 | symbol)
+                to = go.get(at << BITS | symbol)
                 if to is None:
-                    to = go[at << 8 | symbol] = len(children)
+                    to = go[at << BITS | symbol] = len(children)
                     children[at].append((symbol, to))
                     children.append([])
                     whole.append(False)
@@ -65,10 +84,10 @@ class LongestMatch:
                         self.fail[child], self.pops[child] = 0, 1
                     else:
                         back, popped = self.fail[node], self.pops[node]
-                        while back >= 0 and back << 8 | symbol not in go:
+                        while back >= 0 and back << BITS | symbol not in go:
                             popped += self.pops[back]
                             back = self.fail[back]
-                        self.fail[child], self.pops[child] = (go[back << 8 | symbol], popped) if back >= 0 else (-1, 0)
+                        self.fail[child], self.pops[child] = (go[back << BITS | symbol], popped) if back >= 0 else (-1, 0)
                     below.append(child)
             level = below
         self.counts: dict[bytes, int] = {}
@@ -82,14 +101,14 @@ class LongestMatch:
     def count(self, word: bytes) -> int:
         """Tokens of one word; 0 if greedy matching cannot finish it."""
         go, fail, pops, at, n = self.go, self.fail, self.pops, 0, 0
-        for symbol in word:
-            to = go.get(at << 8 | symbol)
+        for symbol in final(word):
+            to = go.get(at << BITS | symbol)
             while to is None:
                 n += pops[at]
                 at = fail[at]
                 if at < 0:
                     return 0
-                to = go.get(at << 8 | symbol)
+                to = go.get(at << BITS | symbol)
             at = to
         while at:
             n += pops[at]
