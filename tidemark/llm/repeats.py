@@ -7,14 +7,16 @@ windows that can pick it. Only segments whose signature occurs elsewhere can hol
 
 Which signatures are shared is worked out by grouping them all; the scan that then emits
 segments only asks a bitmap of at most MOST_BITS bits whether to emit. A wrong yes costs a
-row, never a result. Signatures with more than ``hot`` occurrences are marked in a second
-bitmap: their windows are grouped one by one with partial aggregation and a join, so that no
-task holds a passage that a large part of all documents have. A text that a smaller document
-has as a whole goes as a whole and is not cut into segments at all.
+row, never a result. Segments of a signature with more than ``hot`` occurrences are settled
+before they meet: equal ones as a whole, by partial aggregation, and while more than ``hot``
+kinds are left, their windows get longer signatures (``by_finer_keys``). So no task holds a
+passage that a large part of all documents have, and every size is compared in one way. A
+text that a smaller document has as a whole goes as a whole and is not cut into segments.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,7 +85,8 @@ class Bitmap:
     bits: int
     places: np.ndarray
 
-    def has(self, value: np.ndarray) -> np.ndarray:
+    def has(self, value) -> np.ndarray:
+        value = np.asarray(value).view(np.uint64)
         at = (value & np.uint64(self.bits - 1)).astype(np.int64)
         return (self.places[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
@@ -105,20 +108,19 @@ def bitmap(rows: DataFrame, value: Column, count: int) -> Bitmap:
 TO_THE_END = 1 << 30
 
 
-def copied_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows whose text no smaller document has, and the ranges (whole texts) of the others.
+def copied_texts(rows: DataFrame) -> tuple[DataFrame, Bitmap, DataFrame]:
+    """``rows`` with ``told``, the values of it whose text no smaller document has, and the ranges (whole texts) of the others.
 
-    Texts are told apart by 96 bits of hash and their length. The first part is chosen by a
-    bitmap of the first documents of all texts, so it may hold a few later copies too.
+    Texts are told apart by 96 bits of hash and their length. The bitmap is one of the first
+    documents of all texts, so it may hold a few later copies too.
     """
     same = [F.xxhash64("text").alias("h"), F.hash("text").alias("g"), F.length("text").alias("n")]
     told = rows.select("doc", "key", *same)
     first = materialize(told.groupBy("h", "g", "n").agg(F.min("doc").alias("first")), "texts")
     firsts = bitmap(first, F.xxhash64("h", "g", "n", "first"), first.count())
     later = told.join(first, ["h", "g", "n"]).where(F.col("doc") > F.col("first"))
-    has = F.pandas_udf(lambda value: pd.Series(firsts.has(value.to_numpy().view(np.uint64))), "boolean")
     return (
-        rows.where(has(F.xxhash64(*same, "doc"))),
+        rows.withColumn("told", F.xxhash64(*same, "doc")), firsts,
         later.select("doc", "key", F.lit(0).alias("start"), F.lit(TO_THE_END).alias("last")),
     )
 
@@ -154,7 +156,10 @@ def _combined(rows: pd.DataFrame, order: list[str]) -> pd.DataFrame:
     return pd.concat([rows[~later], ranges], ignore_index=True)
 
 
-def segments_of(docs: DataFrame, known: Filter, crowded: bool, read, order: list[str] | None = None) -> DataFrame:
+SEGMENTS = "sig long, doc long, key long, start int, last int, body long, content binary"
+
+
+def segments_of(docs: DataFrame, firsts: Bitmap, known: Filter, crowded: bool, read, order: list[str] | None = None) -> DataFrame:
     """``sig``, ``doc``, ``key``, ``start``, ``last``, ``body``, ``content`` of every segment that may be shared.
 
     ``read(text)`` gives signature, first and last window of each segment, and a function from
@@ -174,7 +179,7 @@ def segments_of(docs: DataFrame, known: Filter, crowded: bool, read, order: list
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            row, held, content = [], [], []
+            pdf, row, held, content = pdf[firsts.has(pdf["told"])], [], [], []
             for i, text in enumerate(pdf["text"]):
                 sig, begin, end, contents = read(text)
                 own = np.flatnonzero(known.shared.has(sig) & (known.hot.has(sig) == crowded))
@@ -188,29 +193,54 @@ def segments_of(docs: DataFrame, known: Filter, crowded: bool, read, order: list
             if content:
                 yield table(pdf, row, held, content)
 
-    schema = "sig long, doc long, key long, start int, last int, body long, content binary"
-    return docs.select("doc", "key", "text").mapInPandas(run, schema)
+    return docs.select("doc", "key", "text", "told").mapInPandas(run, SEGMENTS)
 
 
-def first_elsewhere(rows: DataFrame, by: list[str], windows) -> DataFrame:
-    """Ranges of windows after the first of their content, for segments of crowded signatures.
+def by_finer_keys(rows: DataFrame, order: list[str], compare, finer, most: int) -> DataFrame:
+    """Ranges of windows after the first of their content, for written segments of crowded signatures.
 
-    ``rows`` are written segments and ranges (without content) in the order ``by``. Equal segments are settled as a whole: a segment that is not in
-    the bitmap of the first of each kind is a later copy. Only the others are cut into windows
-    (``windows(rows)``: ``h``, ``c``, ``doc``, ``key``, ``start``), which are grouped and joined.
+    ``rows`` are segments and ranges (without content); documents come in the order of the columns
+    ``order``. A segment that is not in the bitmap of the first of each kind is a later copy as a
+    whole. The kinds of a signature that has at most ``most`` go to ``compare(rows)``. Those of the
+    others are cut by ``finer(level)``, a function of a pandas table, into segments whose signatures
+    cover more of each window, and all starts again. Equal windows share a signature at every level,
+    and at the last one it covers the whole window, so that only one kind is left.
     """
-    order = F.struct(*by)
-    combined = rows.where(F.col("content").isNull()).select("doc", "key", "start", "last")
-    rows = rows.where(F.col("content").isNotNull()).withColumn("order", order)
-    first = materialize(rows.groupBy("sig", "body").agg(F.min("order").alias("order")), "kinds")
-    kinds = bitmap(first, F.xxhash64("sig", "body", "order"), first.count())
-    has = F.pandas_udf(lambda value: pd.Series(kinds.has(value.to_numpy().view(np.uint64))), "boolean")
-    may_be_first = has(F.xxhash64("sig", "body", "order"))
-    whole = rows.where(~may_be_first).select("doc", "key", "start", "last")
-    single = windows(rows.where(may_be_first)).withColumn("order", order)
-    first = single.groupBy("h", "c").agg(F.min("order").alias("first"))
-    later = single.join(first, ["h", "c"]).where(F.col("order") > F.col("first"))
-    return combined.unionByName(whole).unionByName(later.select("doc", "key", "start", F.col("start").alias("last")))
+    kind, ranges, level, out = F.xxhash64("sig", "body", F.struct(*order)), ["doc", "key", "start", "last"], 0, []
+    while True:
+        out.append(rows.where(F.col("content").isNull()).select(*ranges))
+        rows = rows.where(F.col("content").isNotNull())
+        kinds = materialize(rows.groupBy("sig", "body").agg(F.min(F.struct(*order)).alias("first")), "kinds")
+        firsts = bitmap(kinds, F.xxhash64("sig", "body", "first"), kinds.count())
+        crowd = materialize(kinds.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > most), "crowd")
+        many = bitmap(crowd, F.col("sig"), crowd.count())
+        sort = F.pandas_udf(_sorting(firsts, many), "int")(kind, F.col("sig"))
+        out.append(rows.where(sort == 0).select(*ranges))
+        out.append(compare(rows.where(sort == 1)))
+        if not many.places.any():
+            break
+        level += 1
+        rows = materialize(_cut(rows.withColumn("kind", kind), firsts, many, finer(level), order), "finer")
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def _sorting(firsts: Bitmap, many: Bitmap):
+    """0 for later copies, 1 for kinds to compare, 2 for those of a crowded signature."""
+
+    def sort(kind: pd.Series, sig: pd.Series) -> pd.Series:
+        return pd.Series(np.where(firsts.has(kind), 1 + many.has(sig), 0))
+
+    return sort
+
+
+def _cut(rows: DataFrame, firsts: Bitmap, many: Bitmap, pieces, order: list[str]) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf = pdf[firsts.has(pdf["kind"]) & many.has(pdf["sig"])].sort_values(["doc", "key", "start"])
+            for low in range(0, len(pdf), 2000):
+                yield _combined(pieces(pdf.iloc[low : low + 2000]), order)
+
+    return rows.mapInPandas(run, SEGMENTS)
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

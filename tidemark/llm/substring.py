@@ -77,15 +77,16 @@ def _window_records(name: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-def _signatures(docs: DataFrame, window: int) -> DataFrame:
+def _signatures(docs: DataFrame, firsts: repeats.Bitmap, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            pdf = pdf[firsts.has(pdf["told"])]
             for low in range(0, len(pdf), 500):
                 part = pdf.iloc[low : low + 500]
                 found = [np.unique(parse(names(split(t)), window)[0]) for t in part["text"]]
                 yield pd.DataFrame({"sig": np.concatenate(found).view(np.int64), "doc": np.repeat(part["doc"].to_numpy(), [len(x) for x in found])})
 
-    return docs.select("doc", "text").mapInPandas(run, "sig long, doc long")
+    return docs.select("doc", "text", "told").mapInPandas(run, "sig long, doc long")
 
 
 def _read(window: int):
@@ -162,28 +163,37 @@ def by_signature(rows: DataFrame, work, schema: str, *then: str, most: int = 60_
 RANGES = "doc long, key long, start int, last int"
 
 
-def _unpacked(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            raw = pdf["content"].tolist()
-            size = np.array([len(x) // _RECORD.itemsize for x in raw], np.int64)
-            record, row = np.frombuffer(b"".join(raw), _RECORD), np.repeat(np.arange(len(pdf)), size)
-            start = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + pdf["start"].to_numpy()[row]
-            yield pd.DataFrame({"h": record["h"].astype(np.uint64).view(np.int64), "c": record["c"].astype(np.int64), "doc": pdf["doc"].to_numpy()[row], "key": pdf["key"].to_numpy()[row], "start": start})
+def _single(level: int):
+    """Cuts segments into windows; the signature of a window is a hash of all of it, so one level is enough."""
+
+    def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
+        raw, width = pdf["content"].tolist(), _RECORD.itemsize
+        size = np.array([len(x) // width for x in raw], np.int64)
+        data, row = b"".join(raw), np.repeat(np.arange(len(pdf)), size)
+        record = np.frombuffer(data, _RECORD)
+        start = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + pdf["start"].to_numpy()[row]
+        return pd.DataFrame({
+            "sig": record["h"].astype(np.uint64).view(np.int64), "doc": pdf["doc"].to_numpy()[row], "key": pdf["key"].to_numpy()[row],
+            "start": start, "last": start, "body": record["c"].astype(np.int64), "content": [data[i : i + width] for i in range(0, len(data), width)],
+        })
 
-    return rows.select("doc", "key", "start", "content").mapInPandas(run, "h long, c long, doc long, key long, start int")
+    return pieces
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
     """``doc``, ``key``, ``start``, ``last``: ranges of windows that also start in a smaller document."""
-    rows, copies = repeats.copied_texts(repeats.keyed(docs))
-    count = _signatures(rows, window).groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
+    rows, firsts, copies = repeats.copied_texts(repeats.keyed(docs))
+    count = _signatures(rows, firsts, window).groupBy("sig").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("a") != F.col("b")), hot)
-    found = copies.unionByName(by_signature(repeats.segments_of(rows, known, False, _read(window)), _compare, RANGES))
+
+    def compare(segments: DataFrame) -> DataFrame:
+        return by_signature(segments, _compare, RANGES, most=20_000)
+
+    found = copies.unionByName(compare(repeats.segments_of(rows, firsts, known, False, _read(window))))
     if not known.hot.places.any():
         return found
-    crowded = materialize(repeats.segments_of(rows, known, True, _read(window), ["doc"]), "crowded")
-    return found.unionByName(repeats.first_elsewhere(crowded, ["doc"], _unpacked))
+    crowded = materialize(repeats.segments_of(rows, firsts, known, True, _read(window), ["doc"]), "crowded")
+    return found.unionByName(repeats.by_finer_keys(crowded, ["doc"], compare, _single, hot))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:

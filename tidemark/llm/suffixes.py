@@ -3,7 +3,9 @@
 Every 100-byte window picks the 32-byte gram inside it with the least hash (the first of
 equals). Windows that share a gram with another place form segments; segments of one gram
 meet in one task, with as many others as fit. There the suffixes of all segments are sorted
-by prefix doubling up to the window length. In suffix order the nearest suffixes on either
+by prefix doubling up to the window length. A gram that too many different segments have is
+replaced by longer ones around the same anchor, one for each range of its places in the window,
+up to the window itself. In suffix order the nearest suffixes on either
 side that start earlier in the text (previous and next smaller position) give the longest
 previous factor; where it spans a window, the window came before. Only later copies go.
 """
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from tidemark.llm.substring import RANGES, by_signature
 
 WINDOW = 100
 GRAM = 32
+#: Segments (some 130 suffixes each) sorted at a time, and the rest of a gram's.
+BATCH = 8000
 
 
 def raw(text: str) -> bytes:
@@ -39,10 +44,8 @@ def _words_at(data: bytes) -> np.ndarray:
     return out
 
 
-def parse(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signature, first window and last window of each segment."""
-    if len(data) < window:
-        return np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),)
+def _anchors(data: bytes, window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each gram, and the place of the gram that each window picks."""
     at = _words_at(data)
     # Hashes of 8, 16, 32, ... bytes, each from two of half the length; the last two overlap.
     around, span = at * repeats.FACTORS[0], 8
@@ -52,18 +55,26 @@ def parse(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarr
         around = around[:-step] * repeats.FACTORS[0] + around[step:]
         span += step
     around = repeats.mix(around)
-    best = repeats.least_in_runs((around >> np.uint64(32)).astype(np.uint32), window - gram + 1)
+    return around, repeats.least_in_runs((around >> np.uint64(32)).astype(np.uint32), window - gram + 1)
+
+
+def parse(data: bytes, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signature, first window and last window of each segment."""
+    if len(data) < window:
+        return np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),)
+    around, best = _anchors(data, window, gram)
     begin, end = repeats.segments(best)
     return around[best[begin]], begin, end
 
 
-def _signatures(docs: DataFrame, window: int) -> DataFrame:
+def _signatures(docs: DataFrame, firsts: repeats.Bitmap, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for low in range(0, len(pdf), 500):
-                yield pd.DataFrame({"sig": np.concatenate([parse(raw(t), window)[0] for t in pdf["text"].iloc[low : low + 500]]).view(np.int64)})
+            texts = pdf["text"][firsts.has(pdf["told"])]
+            for low in range(0, len(texts), 500):
+                yield pd.DataFrame({"sig": np.concatenate([parse(raw(t), window)[0] for t in texts.iloc[low : low + 500]]).view(np.int64)})
 
-    return docs.select("text").mapInPandas(run, "sig long")
+    return docs.select("text", "told").mapInPandas(run, "sig long")
 
 
 def _read(window: int):
@@ -173,33 +184,48 @@ def _compare(window: int):
     return work
 
 
-def _windows(rows: DataFrame, window: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for low in range(0, len(pdf), 2000):
-                part, out = pdf.iloc[low : low + 2000], []
-                for data, start in zip(part["content"], part["start"]):
-                    value = np.frombuffer(data, np.uint8).astype(np.uint64)
-                    out.append((repeats.run_hash(value, window, 1), repeats.run_hash(value, window, 2), start + np.arange(len(value) - window + 1)))
-                row = np.repeat(np.arange(len(part)), [len(x[0]) for x in out])
-                h, c, start = (np.concatenate([x[i] for x in out]) for i in range(3))
-                yield pd.DataFrame({"h": h.view(np.int64), "c": c.view(np.int64), "doc": part["doc"].to_numpy()[row], "key": part["key"].to_numpy()[row], "start": start})
+def _finer(window: int, gram: int = GRAM):
+    """Cuts segments by the place of the anchor in their windows, into narrower ranges at each level.
+
+    The signature of a piece is what all windows with the anchor in that range hold around it.
+    """
+
+    def at(level: int):
+        width = max(1, (window - gram + 1) >> 2 * level)
+
+        def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
+            out, digest = [], xxhash.xxh3_64_intdigest
+            for doc, key, start, data in zip(pdf["doc"], pdf["key"], pdf["start"], pdf["content"]):
+                anchor = int(_anchors(data[:window], window, gram)[1][0])
+                part = (anchor - np.arange(len(data) - window + 1)) // width
+                for a, b in zip(*(x.tolist() for x in repeats.segments(part))):
+                    low = int(part[a]) * width
+                    high = min(low + width - 1, window - gram)
+                    content = data[a : b + window]
+                    out.append((digest(data[anchor - low : anchor - high + window], low), doc, key, start + a, start + b, digest(content), content))
+            out = pd.DataFrame(out, columns=["sig", "doc", "key", "start", "last", "body", "content"])
+            return out.assign(**{c: out[c].to_numpy(np.uint64).view(np.int64) for c in ("sig", "body")})
 
-    return rows.select("doc", "key", "start", "content").mapInPandas(run, "h long, c long, doc long, key long, start int")
+        return pieces
+
+    return at
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
     """``doc``, ``key``, ``start``, ``last``: ranges of windows whose bytes also start earlier."""
-    rows, copies = repeats.copied_texts(repeats.keyed(docs))
-    count = _signatures(rows, window).groupBy("sig").agg(F.count("*").alias("n"))
+    rows, firsts, copies = repeats.copied_texts(repeats.keyed(docs))
+    count = _signatures(rows, firsts, window).groupBy("sig").agg(F.count("*").alias("n"))
     known = repeats.shared_filter(count.where(F.col("n") > 1), hot)
-    segments = repeats.segments_of(rows, known, False, _read(window))
-    found = copies.unionByName(by_signature(segments, _compare(window), RANGES, "doc", "key", "start", most=30_000))
+    order = ["doc", "key", "start"]
+
+    def compare(segments: DataFrame) -> DataFrame:
+        return by_signature(segments, _compare(window), RANGES, *order, most=BATCH)
+
+    found = copies.unionByName(compare(repeats.segments_of(rows, firsts, known, False, _read(window))))
     if not known.hot.places.any():
         return found
-    order = ["doc", "key", "start"]
-    crowded = materialize(repeats.segments_of(rows, known, True, _read(window), order), "crowded")
-    return found.unionByName(repeats.first_elsewhere(crowded, order, lambda rows: _windows(rows, window)))
+    crowded = materialize(repeats.segments_of(rows, firsts, known, True, _read(window), order), "crowded")
+    return found.unionByName(repeats.by_finer_keys(crowded, order, compare, _finer(window), hot))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
