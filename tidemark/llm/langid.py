@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.workers import frugal
+
 DIM_BITS = 12
 DIM = 1 << DIM_BITS
 UNKNOWN = "und"
@@ -108,7 +110,7 @@ def fit(rows: DataFrame, centroids: int = 4, sample_rows: int = 400, slack: floa
         yield pd.DataFrame({"bucket": np.arange(DIM), "n": total})
 
     frequency = np.zeros(DIM)
-    found = rows.select("text").mapInPandas(seen, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = rows.select("text").mapInPandas(frugal(seen), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     for bucket, n in found.collect():  # DIM rows
         frequency[bucket] = n
     idf = np.log((1 + sum(per_lang.values())) / (1 + frequency)).astype(np.float32) + np.float32(0.05)
@@ -144,7 +146,7 @@ def predict(docs: DataFrame, model: CentroidModel) -> DataFrame:
             yield pdf.assign(**{c: found[c].to_numpy() for c in added})
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return docs.mapInPandas(run, schema)
+    return docs.mapInPandas(frugal(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
+from tidemark.llm.workers import frugal
 
 CAPACITY = 2048
 END_ID = 0
@@ -125,7 +126,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_words
             WordTokenizer._loaded.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long").withColumn("doc_id", F.col("doc_id").cast(kind))
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(frugal(run), "doc_id string, piece int, start long, length long, ids_crc32 long").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _best_fit(sizes: list[int], capacity: int) -> list[list[int]]:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
+from tidemark.llm.workers import frugal
 
 HOT = 2000
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
@@ -193,7 +194,7 @@ def segments_of(docs: DataFrame, firsts: Bitmap, known: Filter, crowded: bool, r
             if content:
                 yield table(pdf, row, held, content)
 
-    return docs.select("doc", "key", "text", "told").mapInPandas(run, SEGMENTS)
+    return docs.select("doc", "key", "text", "told").mapInPandas(frugal(run), SEGMENTS)
 
 
 def by_finer_keys(rows: DataFrame, order: list[str], compare, finer, most: int) -> DataFrame:
@@ -240,7 +241,7 @@ def _cut(rows: DataFrame, firsts: Bitmap, many: Bitmap, pieces, order: list[str]
             for low in range(0, len(pdf), 2000):
                 yield _combined(pieces(pdf.iloc[low : low + 2000]), order)
 
-    return rows.mapInPandas(run, SEGMENTS)
+    return rows.mapInPandas(frugal(run), SEGMENTS)
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import repeats
 from tidemark.session import materialize
+from tidemark.llm.workers import frugal
 
 WINDOW = 13
 SIDE = 3
@@ -86,7 +87,7 @@ def _signatures(docs: DataFrame, firsts: repeats.Bitmap, window: int) -> DataFra
                 found = [np.unique(parse(names(split(t)), window)[0]) for t in part["text"]]
                 yield pd.DataFrame({"sig": np.concatenate(found).view(np.int64), "doc": np.repeat(part["doc"].to_numpy(), [len(x) for x in found])})
 
-    return docs.select("doc", "text", "told").mapInPandas(run, "sig long, doc long")
+    return docs.select("doc", "text", "told").mapInPandas(frugal(run), "sig long, doc long")
 
 
 def _read(window: int):
@@ -157,7 +158,7 @@ def by_signature(rows: DataFrame, work, schema: str, *then: str, most: int = 60_
         if n:
             yield work(pd.concat(held, ignore_index=True))
 
-    return rows.repartition("sig").sortWithinPartitions("sig", *then).mapInPandas(run, schema)
+    return rows.repartition("sig").sortWithinPartitions("sig", *then).mapInPandas(frugal(run), schema)
 
 
 RANGES = "doc long, key long, start int, last int"
@@ -217,4 +218,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT
             yield pd.concat([pdf[["doc_id"]], done], axis=1)
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {ids}, n_words long, n_removed long, kept string, kept_sha256 string")
+    return rows.mapInPandas(frugal(run), f"doc_id {ids}, n_words long, n_removed long, kept string, kept_sha256 string")

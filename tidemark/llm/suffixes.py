@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import repeats
 from tidemark.session import materialize
 from tidemark.llm.substring import RANGES, by_signature
+from tidemark.llm.workers import frugal
 
 WINDOW = 100
 GRAM = 32
@@ -74,7 +75,7 @@ def _signatures(docs: DataFrame, firsts: repeats.Bitmap, window: int) -> DataFra
             for low in range(0, len(texts), 500):
                 yield pd.DataFrame({"sig": np.concatenate([parse(raw(t), window)[0] for t in texts.iloc[low : low + 500]]).view(np.int64)})
 
-    return docs.select("text", "told").mapInPandas(run, "sig long")
+    return docs.select("text", "told").mapInPandas(frugal(run), "sig long")
 
 
 def _read(window: int):
@@ -250,4 +251,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT
             yield pd.concat([pdf[["doc_id"]], done], axis=1)
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {ids}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return rows.mapInPandas(frugal(run), f"doc_id {ids}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
