@@ -301,6 +301,50 @@ def test_word_windows(which, hot, request, none):
     assert substring.remove_repeats(none, hot=hot).count() == 0
 
 
+@pytest.mark.parametrize("kinds", [2, 5, 40])
+def test_equal_windows_take_equal_symbols(kinds):
+    """Whatever stands around a passage, and wherever a block ends, its windows have the same signatures."""
+    rng = np.random.default_rng(kinds)
+
+    def words(n):
+        return substring.repeats.mix(rng.integers(1, kinds + 1, n).astype(np.uint64))
+
+    def signatures(found):
+        sig, begin, end = found
+        assert begin.tolist() == [0, *(end[:-1] + 1).tolist()]
+        return np.repeat(sig, end - begin + 1)
+
+    for _ in range(60):
+        passage = words(int(rng.integers(13, 120)))
+        before, after = words(int(rng.integers(0, 30))), words(int(rng.integers(0, 30)))
+        texts = [passage, words(5), np.concatenate((before, passage, after)), words(0)]
+        own, short, around, none = substring.parse(texts)
+        expected = signatures(own)
+        assert len(expected) == len(passage) - 12 and not len(short[0]) and not len(none[0])
+        assert (signatures(around)[len(before) :][: len(expected)] == expected).all()
+        assert (signatures(substring.parse(texts, block=17)[2]) == signatures(around)).all()
+        assert (signatures(substring.parse([texts[2]])[0]) == signatures(around)).all()
+
+
+def test_symbols_are_told_by_their_context():
+    """The same words as context give the same symbol, of up to the last round; a pair's name is that of its halves."""
+    rng = np.random.default_rng(3)
+    name = substring.repeats.mix(rng.integers(1, 9, 5000).astype(np.uint64))
+    a, b, title, turn = substring.symbols(name, 13)
+    assert set(turn.tolist()) == {0, 1, 2, 3, 4} and (b - a <= 13).all()
+    seen, names = {}, {}
+    for x, y, t, k in zip(a.tolist(), b.tolist(), title.tolist(), turn.tolist()):
+        seen.setdefault(tuple(name[x:y].tolist()), set()).add((t, k))
+        names.setdefault(t, set()).add(k)
+    occurrences = [sorted(v) for v in seen.values()]
+    assert sum(len(v) > 1 for v in occurrences) < len(occurrences) / 2
+    for x, y, t, k in list(zip(a.tolist(), b.tolist(), title.tolist(), turn.tolist()))[:500]:
+        again = substring.symbols(np.concatenate((name[:7], name[x:y], name[50:60])), 13)
+        assert (7, 7 + y - x, t, k) in set(zip(*(v.tolist() for v in again)))
+    run = substring.symbols(substring.repeats.mix(np.array([1, 2, 2, 2, 3], np.uint64)), 13)
+    assert (0, 5) in set(zip(run[0].tolist(), run[1].tolist()))
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 @pytest.mark.parametrize("hot", [2000, 1])
 def test_byte_windows(which, hot, spark, request, none):

@@ -163,8 +163,8 @@ SEGMENTS = "sig long, doc long, key long, start int, last int, body long, conten
 def segments_of(docs: DataFrame, firsts: Bitmap, known: Filter, crowded: bool, read, order: list[str] | None = None) -> DataFrame:
     """``sig``, ``doc``, ``key``, ``start``, ``last``, ``body``, ``content`` of every segment that may be shared.
 
-    ``read(text)`` gives signature, first and last window of each segment, and a function from
-    lists of first and last windows to contents. ``body`` is a hash of the content. With ``order``
+    ``read(texts)`` yields, for each, signature, first and last window of each segment, and a function
+    from lists of first and last windows to contents. ``body`` is a hash of the content. With ``order``
     segments that come later than an equal one of the same batch are ranges: without content.
     """
 
@@ -181,8 +181,7 @@ def segments_of(docs: DataFrame, firsts: Bitmap, known: Filter, crowded: bool, r
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf, row, held, content = pdf[firsts.has(pdf["told"])], [], [], []
-            for i, text in enumerate(pdf["text"]):
-                sig, begin, end, contents = read(text)
+            for i, (sig, begin, end, contents) in enumerate(read(pdf["text"])):
                 own = np.flatnonzero(known.shared.has(sig) & (known.hot.has(sig) == crowded))
                 if len(own):
                     row.append(i)

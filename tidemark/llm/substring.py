@@ -1,23 +1,25 @@
-"""Repeated word windows across documents, by locally consistent (recompression) parsing.
-
-Symbols are 64-bit names of words. A round names pairs: a random bit of each name says
-whether it may be the left or the right half; a left name followed by another, right name
-becomes one symbol, whose name is the hash of both, so that the same pair has the same name
-in every task of every round without any exchange of names. A run of one word is one symbol
-too. After two rounds the symbol borders depend on two words on either side: equal passages
-have equal borders inside.
-
-Each window of words picks the best border that has three words of the window on either
-side (a border of round two before others, then by hash); the names there form its
-signature. Spark groups all signatures; windows of shared ones are compared in full, by 96
-bits of hash, per signature. A word goes if a window over it also starts in a document with
-a smaller doc_id.
+"""Repeated word windows across documents, by recompression.
+
+Symbols are 64-bit names, at first of words. A round names pairs: a bit of each name, drawn
+anew for every round, says whether it may be a left or a right half, and a left one followed
+by a right one becomes one symbol, whose name is the hash of both names. Runs of one word are
+named by word and length. A name is a hash of what it stands for, so equal runs and pairs
+have equal names in every task and a round needs no exchange; the names that any two
+documents share are found by grouping all of them in Spark.
+
+Each symbol carries its context: the words that decide that it is a symbol of its round. An
+unmerged left half depends on its follower, a right one on its predecessor, a merged pair on
+its halves. So a symbol whose context lies within a window is there in every equal window,
+whatever stands around it. A window takes the symbol of the highest round among those, then
+the least name; the name with its context is the signature. Windows of shared signatures are
+compared in full, by 96 bits of hash. A word goes if a window over it also starts in a
+document with a smaller doc_id.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,9 +32,10 @@ from tidemark.session import materialize
 from tidemark.llm.workers import frugal
 
 WINDOW = 13
-SIDE = 3
 _RECORD = np.dtype([("h", "<u8"), ("c", "<u4")])
-_LEFT = (np.uint64(1), np.uint64(2))
+#: An odd number and its inverse modulo 2**64: sums of powers hash any run of words.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def split(text: str) -> list[bytes]:
@@ -44,31 +47,110 @@ def names(words: list[bytes]) -> np.ndarray:
     return np.array([digest(w) for w in words], np.uint64)
 
 
-def borders(name: np.ndarray) -> np.ndarray:
-    """Round reached by the border before each name: 0 inside a run or pair, 1, or 2."""
-    n = len(name)
-    if n < 2:
-        return np.zeros(n, np.uint8)
-    differ = name[:-1] != name[1:]
-    pair = differ & (name[:-1] & _LEFT[0] > 0) & (name[1:] & _LEFT[0] == 0)
-    joined = repeats.mix(repeats.mix(name[:-1]) + name[1:])
-    ends, begins = name.copy(), name.copy()  # name of the symbol that ends or begins here
-    ends[1:] = np.where(pair, joined, name[1:])
-    begins[:-1] = np.where(pair, joined, name[:-1])
-    first = differ & ~pair
-    second = first & ~((ends[:-1] & _LEFT[1] > 0) & (begins[1:] & _LEFT[1] == 0))
-    return np.concatenate(([0], first.astype(np.uint8) + second))
-
-
-def parse(name: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signature, first window and last window of each segment."""
-    if len(name) < window:
-        return np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),)
-    around = repeats.run_hash(name, 2 * SIDE)  # of the place SIDE words further
-    rank = (around >> np.uint64(34)).astype(np.uint32) | (borders(name)[SIDE : SIDE + len(around)] < 2).astype(np.uint32) << np.uint32(31)
-    best = repeats.least_in_runs(rank, window - 2 * SIDE + 1)
-    begin, end = repeats.segments(best)
-    return around[best[begin]], begin, end
+def runs(name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context (first word, word after the last) and name of each run of two or more equal words."""
+    begin = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+    end = np.append(begin[1:], len(name))
+    own = end - begin > 1
+    begin, end = begin[own], end[own]
+    return begin - 1, end + 1, repeats.mix(repeats.mix(name[begin]) + (end - begin).astype(np.uint64))
+
+
+def pairs(low: np.ndarray, high: np.ndarray, name: np.ndarray, words: int, turn: int):
+    """One round over all symbols of a text: contexts and names after it, and the places of the new pairs."""
+    left = (repeats.mix(name + np.uint64(turn)) & np.uint64(1)).astype(bool)
+    before, after = (np.concatenate(([-1], low[:-1])), np.concatenate(([0], high[:-1]))), (np.append(low[1:], words), np.append(high[1:], words + 1))
+    low = np.minimum(low, np.where(left, after[0], before[0]))
+    high = np.maximum(high, np.where(left, after[1], before[1]))
+    joins = np.append(left[:-1] & ~left[1:], False)
+    at = np.flatnonzero(joins)
+    name = name.copy()
+    name[at] = repeats.mix(repeats.mix(name[at]) + name[at + 1])
+    stays = np.concatenate(([True], ~joins[:-1]))
+    place = np.cumsum(stays) - 1
+    return low[stays], high[stays], name[stays], place[at]
+
+
+def symbols(name: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Context, name and round of each run and pair whose context fits a window."""
+    low, high = np.arange(len(name)), np.arange(1, len(name) + 1)
+    a, b, title = runs(name)
+    found = [(a, b, title, np.zeros(len(a), np.uint64))]
+    present = name
+    for turn in range(1, (window - 1).bit_length() + 1):
+        low, high, present, new = pairs(low, high, present, len(name), turn)
+        found.append((low[new], high[new], present[new], np.full(len(new), turn, np.uint64)))
+    a, b, title, turn = (np.concatenate(x) for x in zip(*found))
+    own = (b - a <= window) & (a >= 0) & (b <= len(name))
+    return a[own], b[own], title[own], turn[own]
+
+
+def _stretch_hash(name: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``a`` to before ``b``."""
+    power = np.full(len(name), _BASE, np.uint64)
+    back = np.full(len(name), _BACK, np.uint64)
+    power[0] = back[0] = 1
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(name * np.multiply.accumulate(power), dtype=np.uint64)))
+    return (total[b] - total[a]) * np.multiply.accumulate(back)[a]
+
+
+def _segments(name: np.ndarray, row: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signature, first window and last window of each segment; ``row`` is the text of each name."""
+    n = max(0, len(name) - window + 1)
+    at = np.flatnonzero(row[:n] == row[len(row) - n :])  # windows within a text
+    if not len(at):
+        return np.zeros(0, np.uint64), at, at
+    a, b, title, turn = symbols(name, window)
+    # Worst first, so that the best is written last; among equal names the leftmost is.
+    rank = np.argsort((np.uint64(63) - turn) << np.uint64(58) | title >> np.uint64(6), kind="stable")[::-1]
+    first, last = np.maximum(b[rank] - window, 0), np.minimum(a[rank], n - 1)
+    times = last - first + 1
+    best = np.arange(len(a), len(a) + n)
+    best[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - first, times)] = np.repeat(rank, times)
+    best, row = best[at], row[at]
+    cut = np.flatnonzero(np.concatenate(([True], (best[1:] != best[:-1]) | (row[1:] != row[:-1]))))
+    begin, end, own = at[cut], np.append(at[cut[1:] - 1], at[-1:]), best[cut]
+    paired = own < len(a)
+    sig = np.zeros(len(cut), np.uint64)
+    sig[paired] = repeats.mix(title[own[paired]] ^ _stretch_hash(name, a[own[paired]], b[own[paired]]))
+    sig[~paired] = repeats.mix(_stretch_hash(name, begin[~paired], begin[~paired] + window))
+    return sig, begin, end
+
+
+def parse(texts: list[np.ndarray], window: int = WINDOW, block: int = 20_000) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Signature, first window and last window of each segment of each text, given as names.
+
+    A segment's windows share the occurrence of their symbol. A window without any run or
+    pair of its own (one in some 600) is a segment whose signature is the hash of its words.
+    What a window takes depends on its words alone, so texts are parsed one after another as
+    one, and that in blocks of words; a block's end may only cut a segment in two.
+    """
+    size = np.array([len(x) for x in texts], np.int64)
+    name, row = np.concatenate([np.zeros(0, np.uint64), *texts]), np.repeat(np.arange(len(texts)), size)
+    parts = []
+    for low in range(0, len(name), block):
+        high = low + block + window - 1
+        sig, begin, end = _segments(name[low:high], row[low:high], window)
+        parts.append((sig, begin + low, end + low))
+    if not parts:
+        return [(np.zeros(0, np.uint64), *2 * (np.zeros(0, np.int64),))] * len(texts)
+    sig, begin, end = (np.concatenate(x) for x in zip(*parts))
+    owner, offset = row[begin], np.cumsum(size) - size
+    begin, end = begin - offset[owner], end - offset[owner]
+    edge = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+    return [(sig[i:j], begin[i:j], end[i:j]) for i, j in zip(edge, edge[1:])]
+
+
+def _together(texts: Iterable[str], words: int = 20_000) -> Iterator[list[np.ndarray]]:
+    """Names of the words of texts, some texts at a time."""
+    held, n = [], 0
+    for text in texts:
+        held.append(names(split(text)))
+        n += len(held[-1])
+        if n >= words:
+            yield held
+            held, n = [], 0
+    yield held
 
 
 def _window_records(name: np.ndarray, window: int) -> np.ndarray:
@@ -84,22 +166,24 @@ def _signatures(docs: DataFrame, firsts: repeats.Bitmap, window: int) -> DataFra
             pdf = pdf[firsts.has(pdf["told"])]
             for low in range(0, len(pdf), 500):
                 part = pdf.iloc[low : low + 500]
-                found = [np.unique(parse(names(split(t)), window)[0]) for t in part["text"]]
+                found = [np.unique(sig) for texts in _together(part["text"]) for sig, _, _ in parse(texts, window)]
                 yield pd.DataFrame({"sig": np.concatenate(found).view(np.int64), "doc": np.repeat(part["doc"].to_numpy(), [len(x) for x in found])})
 
     return docs.select("doc", "text", "told").mapInPandas(frugal(run), "sig long, doc long")
 
 
 def _read(window: int):
-    def read(text: str):
-        name = names(split(text))
-        sig, begin, end = parse(name, window)
-
-        def contents(first: list[int], last: list[int]) -> list[bytes]:
+    def contents(name: np.ndarray):
+        def records(first: list[int], last: list[int]) -> list[bytes]:
             raw, size = _window_records(name, window).tobytes(), _RECORD.itemsize
             return [raw[a * size : (b + 1) * size] for a, b in zip(first, last)]
 
-        return sig, begin, end, contents
+        return records
+
+    def read(texts: Iterable[str]):
+        for part in _together(texts):
+            for name, found in zip(part, parse(part, window)):
+                yield *found, contents(name)
 
     return read
 

@@ -12,6 +12,7 @@ previous factor; where it spans a window, the window came before. Only later cop
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -222,10 +223,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, hot: int = repeats.H
     def compare(segments: DataFrame) -> DataFrame:
         return by_signature(segments, _compare(window), RANGES, *order, most=BATCH)
 
-    found = copies.unionByName(compare(repeats.segments_of(rows, firsts, known, False, _read(window))))
+    found = copies.unionByName(compare(repeats.segments_of(rows, firsts, known, False, functools.partial(map, _read(window)))))
     if not known.hot.places.any():
         return found
-    crowded = materialize(repeats.segments_of(rows, firsts, known, True, _read(window), order), "crowded")
+    crowded = materialize(repeats.segments_of(rows, firsts, known, True, functools.partial(map, _read(window)), order), "crowded")
     return found.unionByName(repeats.by_finer_keys(crowded, order, compare, _finer(window), hot))
 
 
