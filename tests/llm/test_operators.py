@@ -243,6 +243,16 @@ def test_document_fingerprints(which, request, none):
         assert np.median([r["near_edited"] for r in found]) > 0.6 > 0.1 > np.median([r["near_next"] for r in found])
 
 
+def test_language_of_repeated_rows_is_learnt(spark):
+    rows = [(1, "the cat sat on the mat and the dog", "en")] * 3000 + [(2, "der Hund liegt auf dem Teppich und die Katze", "de")] * 7 + [(3, "le chat et le chien", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    for sample_rows in (1, 400):
+        model = langid.fit(df, sample_rows=sample_rows)
+        assert model.languages == ["de", "en"]
+        found = {r["doc_id"]: r for r in langid.predict(df, model).distinct().collect()}
+        assert (found[1]["lang_pred"], found[2]["lang_pred"]) == ("en", "de") and found[1]["score"] > 0.99
+
+
 def test_equal_substrings_share_names_at_any_offset():
     r = random.Random(1)
     body = "".join(r.choice("abcdefgh ") for _ in range(4000))

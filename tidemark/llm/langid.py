@@ -4,7 +4,7 @@ A text becomes counts of hashed 1- to 3-grams of its lower-cased letters (anythi
 a gap), damped by a logarithm, weighted by inverse document frequency and scaled to unit
 length. Document frequencies cover every learning row. Each language's centroids come from
 spherical k-means over a sample of its learning rows (``sample_rows`` expected a language,
-chosen by hash). The prediction is the language of the centroid with the largest cosine; a
+chosen by hash, at least one). Of equal cosines the first language by name counts. The prediction is the language of the centroid with the largest cosine; a
 text farther from all centroids than the learnt radius is marked as rejected.
 """
 
@@ -94,11 +94,15 @@ class CentroidModel:
 def fit(rows: DataFrame, centroids: int = 4, sample_rows: int = 400, slack: float = 0.5) -> CentroidModel:
     """A model of rows with ``doc_id``, ``text`` and ``lang``; rows without lang or text are left out.
 
-    ``sample_rows`` bounds, in expectation, the rows of a language that are clustered.
+    ``sample_rows`` bounds, in expectation, the rows of a language that are clustered. A row is
+    drawn by its hash, and a language's row of the least hash always is, so that none is left
+    out. Repeated rows are drawn once. Languages are taken to be few: the model holds them all.
     The floor is ``slack`` times the least cosine of a sampled row.
     """
     rows = rows.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    mark = F.xxhash64("doc_id", "text")
+    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(mark).alias("least")).collect()
+    per_lang, least = {r["lang"]: r["n"] for r in known}, {r["lang"]: r["least"] for r in known}
     if not per_lang:
         return CentroidModel([], np.zeros((0, DIM), np.float32), np.ones(DIM, np.float32), 0.0)
 
@@ -116,7 +120,8 @@ def fit(rows: DataFrame, centroids: int = 4, sample_rows: int = 400, slack: floa
     idf = np.log((1 + sum(per_lang.values())) / (1 + frequency)).astype(np.float32) + np.float32(0.05)
 
     rate = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, min(1.0, sample_rows / n))])
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003 < rate[F.col("lang")]
+    first = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+    drawn = (F.pmod(mark, F.lit(1_000_003)) / 1_000_003 < rate[F.col("lang")]) | (mark == first[F.col("lang")])
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         unit = vectors(pdf.sort_values(["doc_id", "text"])["text"].tolist(), idf)
@@ -124,10 +129,8 @@ def fit(rows: DataFrame, centroids: int = 4, sample_rows: int = 400, slack: floa
         least = float((unit @ centre.T).max(axis=1).min())
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "k": range(len(centre)), "centre": list(centre), "least": least})
 
-    sampled = rows.where(drawn).groupBy("lang").applyInPandas(cluster, "lang string, k int, centre array<float>, least double")
+    sampled = rows.where(drawn).distinct().groupBy("lang").applyInPandas(cluster, "lang string, k int, centre array<float>, least double")
     made = sorted(sampled.collect(), key=lambda r: (r["lang"], r["k"]))  # a few rows a language
-    if not made:
-        raise ValueError("no row was drawn; raise sample_rows")
     return CentroidModel([r["lang"] for r in made], np.array([r["centre"] for r in made], np.float32), idf, slack * min(r["least"] for r in made))
 
 
