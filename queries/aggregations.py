@@ -168,7 +168,7 @@ def prediction_drift(spark, sf):
 
 
 def churn_by_recency(spark, sf):
-    return insights.churn_by_recency(c.features(spark, sf, "latest"))
+    return insights.churn_by_recency(c.features(spark, sf))
 
 
 def churn_by_frequency(spark, sf):
@@ -486,7 +486,7 @@ FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey)""",
     ),
     "churn_by_recency": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         select=_BINNED.format(
             rate=_RATE,
             case="""WHEN days_since_last_order <= -1 THEN NULL WHEN days_since_last_order <= 30 THEN '<30j' WHEN days_since_last_order <= 60 THEN '30-60j'
