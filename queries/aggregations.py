@@ -172,7 +172,7 @@ def churn_by_recency(spark, sf):
 
 
 def churn_by_frequency(spark, sf):
-    return insights.churn_by_frequency(c.features(spark, sf, "latest"))
+    return insights.churn_by_frequency(c.features(spark, sf))
 
 
 def recency_histogram(spark, sf):
@@ -495,7 +495,7 @@ FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey)""",
     ),
     "churn_by_frequency": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         select=_BINNED.format(
             rate=_RATE,
             case="""WHEN purchase_frequency_30d <= 0 THEN NULL WHEN purchase_frequency_30d <= 1 THEN '0-1' WHEN purchase_frequency_30d <= 3 THEN '2-3'
