@@ -176,7 +176,7 @@ def churn_by_frequency(spark, sf):
 
 
 def recency_histogram(spark, sf):
-    return insights.recency_histogram(c.features(spark, sf, "latest"))
+    return insights.recency_histogram(c.features(spark, sf))
 
 
 def risk_segment_counts(spark, sf):
@@ -504,7 +504,7 @@ FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment, c_nationkey)""",
     ),
     "recency_histogram": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         "lim AS (SELECT CAST(min(days_since_last_order) AS DOUBLE) AS lo, (CAST(max(days_since_last_order) AS DOUBLE) - min(days_since_last_order)) / 30 AS w FROM feats)",
         select=f"""SELECT churn, CAST(b + 1 AS INT) AS bin, count(*) AS customers, {H('lo + b * w', 6)} AS bin_start
 FROM (SELECT churn, lo, w, CAST(least(floor((days_since_last_order - lo) / w), 29) AS INT) AS b FROM feats, lim) GROUP BY ALL""",
