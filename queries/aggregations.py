@@ -180,7 +180,7 @@ def recency_histogram(spark, sf):
 
 
 def risk_segment_counts(spark, sf):
-    return insights.risk_segment_counts(c.features(spark, sf, "latest"))
+    return insights.risk_segment_counts(c.features(spark, sf))
 
 
 def segment_profile(spark, sf):
@@ -511,7 +511,7 @@ FROM (SELECT churn, lo, w, CAST(least(floor((days_since_last_order - lo) / w), 2
     ),
     "risk_segment_counts": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         select="""SELECT CASE WHEN days_since_last_order <= 30 THEN 'Actif (<30j)' WHEN days_since_last_order <= 60 THEN 'Modéré (30-60j)'
  WHEN days_since_last_order <= 90 THEN 'Inactif (60-90j)' ELSE 'Très inactif (>90j)' END AS risk_segment, count(*) AS customers
 FROM feats WHERE days_since_last_order > -1 GROUP BY 1""",
