@@ -201,7 +201,7 @@ def feature_correlation(spark, sf):
 
 
 def category_importance(spark, sf):
-    return insights.category_importance(insights.feature_correlation(c.features(spark, sf, "latest"), MODEL_FEATURES))
+    return insights.category_importance(insights.feature_correlation(c.features(spark, sf), MODEL_FEATURES))
 
 
 def describe_features(spark, sf):
@@ -542,7 +542,7 @@ FROM feats WHERE days_since_last_order > -1 GROUP BY 1""",
     ),
     "category_importance": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         f"led AS (SELECT feature, abs(correlation) AS strength FROM ({_CORR}) WHERE correlation IS NOT NULL ORDER BY strength DESC, feature LIMIT 10)",
         "fam AS ("
         + " UNION ALL ".join(
