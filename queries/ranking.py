@@ -44,7 +44,7 @@ def best_threshold(spark, sf):
 
 
 def top_features(spark, sf):
-    return insights.top_features(insights.feature_correlation(c.features(spark, sf, "latest"), MODEL_FEATURES), n=10)
+    return insights.top_features(insights.feature_correlation(c.features(spark, sf), MODEL_FEATURES), n=10)
 
 
 def top_drifts(spark, sf):
@@ -113,7 +113,7 @@ USING (model_version)""",
     ),
     "top_features": c.sql(
         *c.BASE,
-        c.FEATS_LAST,
+        c.FEATS,
         select=f"""SELECT * FROM (SELECT *, abs(correlation) AS strength FROM ({_CORR})) WHERE strength IS NOT NULL
 ORDER BY strength DESC, feature LIMIT 10""",
     ),
