@@ -162,3 +162,18 @@ def test_a_scored_batch_run_again_replaces_its_rows(spark, sf, tmp_path, monkeyp
 def test_no_batch_yet(spark, tmp_path):
     schema = spark.range(1).schema
     assert runs.read_batches(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_upsert_evaluates_a_batch_once(spark, tmp_path):
+    """A second evaluation of a stateful batch waits for the state stores that the first one holds."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def row(k):
+        seen.add(1)
+        return k, "new"
+
+    for version in (0, 1):
+        changes = spark.createDataFrame(spark.sparkContext.parallelize(range(5), 1).map(row), "k bigint, v string")
+        runs.upsert(changes, str(tmp_path), version, ["k"])
+        assert seen.value == 5 * (version + 1)
+    assert runs.newest(spark, str(tmp_path), changes.schema).count() == 5
