@@ -57,7 +57,8 @@ def snapshot_dataset(spark, sf):
 def snapshot_dataset_lines(spark, sf):
     """Replay at line grain: many rows per instant, no row key, a refund rate."""
     tx = star.line_transactions(spark, sf)
-    return feat.snapshot_dataset(tx, snapshots.snapshot_dates(tx, c.CFG), c.CFG)
+    lines = star.table(spark, sf, "lineitem").count()
+    return feat.snapshot_dataset(tx, snapshots.snapshot_dates(tx, c.CFG), c.CFG, rows=lines)
 
 
 EVENT_CFG = snapshots.SnapshotConfig(

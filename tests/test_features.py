@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -240,3 +241,18 @@ def test_running_state_and_gaps(spark):
     out = rows(feat.running_state(_tx(spark, data)).select("orders_so_far", "revenue_so_far", "max_value_so_far"), "orders_so_far")
     assert out == [(1, 1.0, 1.0), (3, 6.0, 3.0), (4, 10.0, 4.0)]
     assert feat.order_gaps(_tx(spark, data)).first().avg_days_between_orders == pytest.approx((1 + 0 + 38) / 3)
+
+
+def test_parts_of_the_replay_follow_the_rows(spark, sf, monkeypatch):
+    from queries import common as c
+
+    def parts(**given):
+        plan = feat.snapshot_dataset(c.tx(spark, sf), c.dates(spark, sf), c.CFG, **given)._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"hashpartitioning\(customer_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan).group(1))
+
+    monkeypatch.setattr(feat, "ROWS_A_PART", 100)
+    assert parts() == 15 and parts(rows=30_000) == 300
+    dealt = c.features(spark, sf)
+    small = sorted(dealt.collect())
+    monkeypatch.setattr(feat, "ROWS_A_PART", 100_000)
+    assert parts() == 2 and sorted(c.features(spark, sf).collect()) == small
