@@ -127,8 +127,8 @@ def scan_journal(spark, sf):
     path = scratch_path(spark, "journals")
     entries = journal_entries(spark, sf).withColumn("journal_id", F.col("outcome"))
     lines = journal.append(entries, order_by=["at", "order_id"], details=["order_id", "priority"], host="spark", pid=1)
-    lines.select("journal_id", "line").write.partitionBy("journal_id").text(path)
-    back = journal.read_entries(journal.read_journal_files(spark, path))
+    journal.write_journal_files(lines, path)
+    back = journal.read_entries(journal.read_journal_files(spark, path, folders=True))
     return back.select(
         F.regexp_extract("journal_id", "journal_id=([^/]*)/", 1).alias("journal_id"),
         "seq",
