@@ -10,6 +10,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from public_tokenizers import path as tokenizer_path
@@ -180,6 +181,32 @@ def test_likeness_is_exact(spark):
     assert found == dict(enumerate(label))
 
 
+def test_likeness_makes_no_pairs_of_a_crowd_that_is_not_similar():
+    """Of the texts that meet in one shingle, all similar pairs are made and hardly any others."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(80)], []
+    for i in range(150):
+        words = list(base)
+        for at in r.sample(range(80), 2):
+            words[at] = word()
+        rows += [" ".join(words), " ".join(words + [word()])]
+    sets = [likeness.shingle_set(t) for t in rows]
+    met = pd.DataFrame({"sig": 7, "node": range(300), "root": range(300), "size": [len(x) for x in sets], "place": 0, "sketch": [likeness.sketch(x) for x in sets]})
+    found = set(zip(*likeness._open_pairs(met, Fraction(4, 5), None)[["u", "v"]].to_numpy().T.tolist()))
+    likest = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for b in range(300) for a in range(b)}
+    similar = {p for p, j in likest.items() if j >= 0.8}
+    assert len(similar) >= 150 and similar <= found and len(found) < 3 * len(similar) + 300
+
+
+def test_sketches_differ_in_no_more_bits_than_the_sets_in_shingles():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 40, 3000):
+        both, own = r.integers(0, 1 << 63, n, np.uint64), r.integers(0, 1 << 63, 7, np.uint64)
+        a, b = (np.frombuffer(likeness.sketch(x), np.uint8) for x in (both, np.concatenate((both, own))))
+        assert np.bitwise_count(a ^ b).sum() in (1, 3, 5, 7)
+
+
 def test_likeness_of_nothing(none):
     assert likeness.near_copies(none).collect() == [] and likeness.keep_first(none).columns == none.columns
 
