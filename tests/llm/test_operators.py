@@ -483,6 +483,22 @@ def test_network_learns_and_keeps_base(spark, odd, none):
     assert secrets.scan(none, None).count() == 0
 
 
+def test_network_learns_from_every_window(spark, monkeypatch):
+    """Each pass goes over all windows but those held back, and the threshold is set on all of those."""
+    rows = [(i, f'token = "{i:032x}" and order-{i * 7919:08d}-shipped') for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    every = sorted(r["rank"] for r in secrets.labelled_rows(df).collect())
+    taught, held = [], []
+    ranks = lambda rows: [r["rank"] for r in rows.collect()]
+    monkeypatch.setattr(secrets, "PASSES_FOR", 50)
+    monkeypatch.setattr(secrets, "PART_ROWS", 40)
+    monkeypatch.setattr(secrets, "_round", lambda rows, *more: taught.append(ranks(rows)))
+    monkeypatch.setattr(secrets, "_calibrate", lambda rows, *more: held.extend(ranks(rows)))
+    secrets.fit(df)
+    assert len(taught) > 4 and len(held) > 100 and len(every) == 800
+    assert sorted(set(sum(taught, [])) | set(held)) == every and not set(sum(taught, [])) & set(held)
+
+
 def test_every_long_run_is_a_candidate_and_mixed_ones_are_redacted_whole(spark):
     mixed, letters = "Zq9-0123456789abcdef-Xw", "QwErTyUiOpAsDfGh"
     text = f"see {letters} or {mixed} and 0123456789abcdef, password=abcdefghijkl"
