@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -26,3 +28,16 @@ def test_ranks_need_no_python_worker(spark, monkeypatch):
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
     assert rows_at_ranks(df, {"v": "v"}, ["v"], lambda n: [1, 700])["v"][700][0] == 699.0
     assert made == [pa.Table]
+
+
+def test_many_windows_get_as_many_passes_and_made_up_tokens_as_few(spark, monkeypatch):
+    rows = [(i, f'token = "{i:032x}" and order-{i * 7919:08d}-shipped') for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    taught, made = Counter(), []
+    monkeypatch.setattr(secrets, "PASSES_FOR", 1)
+    monkeypatch.setattr(secrets, "_round", lambda rows, model, share, n, *more: (taught.update(r["rank"] for r in rows.collect()), made.append(n)))
+    monkeypatch.setattr(secrets, "_calibrate", lambda rows, model, recall, n, *more: made.append(n))
+    secrets.fit(df, epochs=4)
+    want = {r["rank"] for r in secrets.labelled_rows(df).collect() if r["rank"] % secrets.HELD_OF}
+    assert set(taught) == want and set(taught.values()) == {4}
+    assert set(made) == {secrets.MADE}
