@@ -7,6 +7,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import secrets
 from tidemark.operators.ordered import rows_at_ranks
 
@@ -41,3 +42,15 @@ def test_many_windows_get_as_many_passes_and_made_up_tokens_as_few(spark, monkey
     want = {r["rank"] for r in secrets.labelled_rows(df).collect() if r["rank"] % secrets.HELD_OF}
     assert set(taught) == want and set(taught.values()) == {4}
     assert set(made) == {secrets.MADE}
+
+
+def test_the_pipeline_learns_from_all_windows_in_all_passes(spark, monkeypatch):
+    rows = [(i, f'token = "{i:032x}" and order-{i * 7919:08d}-shipped') for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    taught, made = Counter(), []
+    monkeypatch.setattr(secrets, "PASSES_FOR", 1)
+    monkeypatch.setattr(secrets, "_round", lambda rows, model, share, n, *more: (taught.update(r["rank"] for r in rows.collect()), made.append(n)))
+    monkeypatch.setattr(secrets, "_calibrate", lambda *more: None)
+    corpus_pipeline.secret_scan(spark, df, "")
+    want = {r["rank"] for r in secrets.labelled_rows(df).collect() if r["rank"] % secrets.HELD_OF}
+    assert set(taught) == want and set(taught.values()) == {10} and set(made) == {secrets.MADE}
