@@ -103,6 +103,20 @@ def test_variants_of_nothing(spark):
     assert out.columns == ["word", "form", "root", "n", "n_near", "form_n"] and out.count() == 0
 
 
+def test_neither_signatures_nor_roots_are_broadcast(spark, monkeypatch):
+    """A vector has a signature for each two groups, so the table is far larger than Spark takes it for."""
+    plans, write = {}, spelling.materialize
+    monkeypatch.setattr(spelling, "materialize", lambda df, label: plans.setdefault(label, []).append(df) or write(df, label))
+    df = spark.createDataFrame([("shelter", 40), ("shelte", 9), ("shelt", 4)], "word string, n long")
+    out = spelling.variants(df)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    assert collected(out) == {"shelter": (None, "shelter", 40, 1, None), "shelte": ("shelter", "shelter", 9, 2, 40), "shelt": ("shelte", "shelter", 4, 1, 9)}
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    signed, *rounds = plans["spelling-vectors"] + plans["spelling-roots"][1:]
+    assert len(rounds) > 0 and all("SortMergeJoin" in plan(x) and "Broadcast" not in plan(x) for x in [signed, *rounds])
+    assert "Broadcast" not in plan(out)
+
+
 # ---------------------------------------------------------------- collocations
 
 

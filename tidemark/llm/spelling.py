@@ -94,7 +94,8 @@ def near_vectors(vectors: DataFrame, groups: int = GROUPS) -> DataFrame:
                 yield pd.DataFrame({"sig": made.ravel(), "vector": np.repeat(part, made.shape[1])})
 
     signed = vectors.mapInPandas(sign, "sig long, vector string")
-    a, b = signed.select("sig", F.col("vector").alias("va")), signed.select("sig", F.col("vector").alias("vb"))
+    # Spark takes ``signed`` for as many rows as ``vectors`` has, not one for each signature: neither side may be sent to all.
+    a, b = signed.select("sig", F.col("vector").alias("va")).hint("merge"), signed.select("sig", F.col("vector").alias("vb"))
     # Two places apart, sorted letters are at most one deletion and one insertion apart; -1: farther.
     near = (F.col("va") < F.col("vb")) & (F.abs(F.char_length("va") - F.char_length("vb")) <= 1) & (F.levenshtein("va", "vb", 2) >= 0)
     return a.join(b, (a["sig"] == b["sig"]) & near).select("va", "vb").distinct()
@@ -120,12 +121,12 @@ def near_words(counts: DataFrame, groups: int = GROUPS) -> DataFrame:
 def roots(forms: DataFrame) -> DataFrame:
     """``word``, ``root`` for a table of ``word``, ``form`` without cycles: forms followed to the last.
 
-    Every round doubles the steps taken, so a chain of d forms needs log2(d) rounds.
+    Every round doubles the steps taken, so a chain of d forms needs log2(d) rounds. None keeps its table on the driver.
     """
     state = materialize(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = state.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        stepped = materialize(state.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
+        stepped = materialize(state.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         state = stepped.select("word", "root")
         if stepped.where("moved").isEmpty():
             return state
@@ -150,5 +151,5 @@ def variants(counts: DataFrame, ratio: int = 2, groups: int = GROUPS) -> DataFra
         ),
         "spelling-forms",
     )
-    found = table.join(roots(table.where("form is not null")), "word", "left")
+    found = table.join(roots(table.where("form is not null")).hint("merge"), "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
